@@ -141,9 +141,10 @@ def date_grid(df: DataFrame, first: Column, last: Column, name: str = "fecha") -
 def attach_colour(df: DataFrame, code: str, name: str = "color") -> DataFrame:
     """Colour of each code. The rules run once per distinct code and are joined back.
 
-    Only codes with a colour are joined; every other row, NULL codes included, has the default.
+    The codes are not filtered by their colour: that predicate would be pushed below the distinct
+    and repeat the expression behind ``code`` once per rule. NULL codes match nothing and have the
+    default.
     """
     named = df.select(F.col(code).alias("_code")).distinct().withColumn(name, colour(F.col("_code")))
-    named = named.filter(F.col(name) != COLOUR_OTHER)
     joined = df.join(named, F.col(code) == F.col("_code"), "left").drop("_code")
     return joined.fillna(COLOUR_OTHER, subset=[name])

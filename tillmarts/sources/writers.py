@@ -12,16 +12,22 @@ from tillmarts.operators.aggregates import distinct_by_key
 from tillmarts.storage import materialize
 
 
+def _gathered(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Rows of one output partition brought together, so that not every task writes a file to
+    every partition; a partition above the advisory size is split over several tasks."""
+    return df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df
+
+
 def sink_append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Append, creating the table on first use."""
-    df.write.mode("append").partitionBy(*partition_by).parquet(path)
+    _gathered(df, partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
 def sink_overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Truncate and reload."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
-        *partition_by
-    ).parquet(path)
+    _gathered(df, partition_by).write.mode("overwrite").option(
+        "partitionOverwriteMode", "static"
+    ).partitionBy(*partition_by).parquet(path)
 
 
 def sink_empty_like(df: DataFrame, path: str) -> None:
@@ -95,8 +101,8 @@ def sink_upsert(
         base = base.join(touched, partition_by, "left_semi")
     merged = materialize(upsert(base, staging, key, order_by).select(*staging.columns), "upsert")
     if partition_by:
-        merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-            partition_by
-        ).parquet(path)
+        _gathered(merged, [partition_by]).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic"
+        ).partitionBy(partition_by).parquet(path)
     else:
         sink_overwrite(merged, path)

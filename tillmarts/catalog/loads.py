@@ -121,6 +121,7 @@ def gap_repair(spark: SparkSession, folder: str) -> DataFrame:
         F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("client")
     )
     fetched = scan_table(spark, folder, "lineitem").select(F.col("l_orderkey").alias("id"))
+    fetched = fetched.distinct()
     loaded = orders.join(fetched, "id", "left_semi")
     starts = orders.groupBy(F.floor(F.col("id") / 500).alias("block")).agg(F.min("id").alias("id"))
     cursors = starts.select("id").unionByName(orders.agg((F.max("id") + 1).alias("id")))

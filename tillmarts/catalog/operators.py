@@ -634,10 +634,10 @@ def last_value_ignore_nulls(spark: SparkSession, folder: str) -> DataFrame:
 # --- sorts and set operations ----------------------------------------------------------------
 
 
-@query("SELECT CAST(o_orderdate AS DATE) AS day, o_orderkey FROM orders ORDER BY day DESC")
+@query("SELECT CAST(o_orderdate AS DATE) AS day, o_orderkey FROM orders ORDER BY day DESC, o_orderkey")
 def order_by_desc(spark: SparkSession, folder: str) -> DataFrame:
     orders = scan(spark, folder, "orders").select(F.to_date("o_orderdate").alias("day"), "o_orderkey")
-    return sets.order_by_desc(orders, "day")
+    return sets.order_by_desc(orders, "day", "o_orderkey")
 
 
 @query(expect("SELECT id FROM gaps ORDER BY id"))

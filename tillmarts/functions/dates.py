@@ -20,12 +20,13 @@ def epoch_to_date(seconds: Column) -> Column:
 
 def date_to_epoch(day: Column) -> Column:
     """Epoch second of a date's first instant, UTC."""
-    return F.unix_date(day.cast("date")).cast("bigint") * DAY_SECONDS
+    return F.unix_date(day).cast("bigint") * DAY_SECONDS
 
 
 def timestamp_to_epoch(ts: Column) -> Column:
     """Epoch second of a zone-less timestamp read as UTC."""
-    return F.timestamp_diff("SECOND", F.expr("timestamp_ntz'1970-01-01 00:00:00'"), ts)
+    clock = F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
+    return date_to_epoch(F.to_date(ts)) + clock
 
 
 def local_to_epoch(ts: Column, zone: str = L.LOCAL_ZONE) -> Column:

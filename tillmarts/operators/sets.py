@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillmarts.storage import materialize
@@ -54,11 +54,18 @@ def missing_ids(
     col: str = "id",
     first: str = "first_id",
     last: str = "last_id",
+    run: int = 10_000,
 ) -> DataFrame:
-    """Ids inside the intervals that were not fetched."""
-    expected = intervals.select(
-        F.col(first), F.col(last), F.explode(F.sequence(F.col(first), F.col(last))).alias(col)
-    )
+    """Ids inside the intervals that were not fetched.
+
+    Intervals are first cut into runs of ``run`` ids and the runs spread over the tasks, so a single
+    wide interval neither becomes one long array nor one long task.
+    """
+    start, stop = F.col("_start"), F.least(F.col("_start") + run - 1, F.col(last))
+    runs = intervals.select(
+        first, last, F.explode(F.sequence(F.col(first), F.col(last), F.lit(run))).alias("_start")
+    ).repartition("_start")
+    expected = runs.select(first, last, F.explode(F.sequence(start, stop)).alias(col))
     return expected.join(fetched.select(col).distinct(), col, "left_anti").select(first, last, col)
 
 
@@ -66,5 +73,7 @@ def sorted_list(df: DataFrame, col: str) -> DataFrame:
     return df.select(col).orderBy(col)
 
 
-def order_by_desc(df: DataFrame, col: str | Column) -> DataFrame:
-    return df.orderBy(F.desc(col))
+def order_by_desc(df: DataFrame, col: str, *ties: str) -> DataFrame:
+    """Sorted by ``col``, largest first. ``ties`` orders equal values, which also lets the range
+    partitioning split a value that many rows share."""
+    return df.orderBy(F.desc(col), *ties)

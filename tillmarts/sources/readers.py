@@ -11,10 +11,11 @@ from pyspark.sql import types as T
 
 from tillmarts.functions import lookups as L
 from tillmarts.schemas import COLOUR_SEED
+from tillmarts.storage import read_parquet
 
 
 def scan_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return read_parquet(spark, f"{folder}/{name}.parquet")
 
 
 def scan_rename(df: DataFrame, names: Mapping[str, str], **casts: str) -> DataFrame:

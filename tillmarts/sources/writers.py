@@ -40,12 +40,18 @@ def sink_json(df: DataFrame, path: str) -> None:
     df.write.option("ignoreNullFields", False).json(path)
 
 
-def sink_model(df: DataFrame, name: str, kind: str, path: str | None = None) -> DataFrame:
+def sink_model(
+    df: DataFrame,
+    name: str,
+    kind: str,
+    path: str | None = None,
+    partition_by: Sequence[str] = (),
+) -> DataFrame:
     """A named result as ``view``, ``table`` (written to ``path``) or ``inline``."""
     if kind == "inline":
         return df
     if kind == "table":
-        sink_overwrite(df, path)
+        sink_overwrite(df, path, partition_by)
         df = df.sparkSession.read.schema(df.schema).parquet(path)
     df.createOrReplaceTempView(name)
     return df.sparkSession.table(name)

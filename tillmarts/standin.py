@@ -204,6 +204,8 @@ def detail_pages(spark: SparkSession, folder: str) -> DataFrame:
     items = scan_table(spark, folder, "lineitem").withColumn(
         "page", F.floor(F.monotonically_increasing_id() / PAGE_RUN)
     )
+    # The flat columns are shuffled; the nested ones are built where they are packed.
+    items = items.repartition("l_orderkey", "page")
     v = variants(spark, folder).select("variant_id", "variant_code", "variant_description")
     items = items.join(v, F.col("l_partkey") == F.col("variant_id"))
     price, tax, off = F.col("l_extendedprice"), F.col("l_tax"), F.col("l_discount")
@@ -235,13 +237,20 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     """Documents with JSON details: an object for most, a bare array for receipts, ``{}`` without lines."""
 
     def build() -> DataFrame:
-        joined = document_headers(spark, folder).join(detail_pages(spark, folder), "id", "left")
+        headers = document_headers(spark, folder)
+        pages = detail_pages(spark, folder).drop("page")
+        # The pages are the preserved side, the one a skewed join can split; documents without
+        # lines are added from an anti join.
+        with_lines = pages.join(headers, "id").select(*headers.columns, "items")
+        ids = scan_table(spark, folder, "lineitem").select(F.col("l_orderkey").alias("id"))
+        without = headers.join(ids.distinct(), "id", "left_anti")
+        joined = with_lines.unionByName(without, allowMissingColumns=True)
         details = (
             F.when(F.col("items").isNull(), F.lit("{}"))
             .when(F.col("o_orderstatus") == "O", F.to_json("items"))
             .otherwise(F.to_json(F.struct(F.lit("/details").alias("href"), F.col("items"))))
         )
-        return joined.withColumn("details", details).drop("items", "page", "o_orderstatus")
+        return joined.withColumn("details", details).drop("items", "o_orderstatus")
 
     return staged(spark, folder, "documents", build)
 

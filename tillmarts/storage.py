@@ -12,9 +12,11 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 _own_folder: dict[str, str] = {}
-_staged: dict[tuple[str, str, str], str] = {}
+_staged: dict[tuple[str, str, str], tuple[str, T.StructType]] = {}
+_schemas: dict[tuple[str, str], T.StructType] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -52,9 +54,19 @@ def staged(
     key = (spark.sparkContext.applicationId, source, label)
     if key not in _staged:
         path = fresh_path(spark, label)
-        build().write.parquet(path)
-        _staged[key] = path
-    return spark.read.parquet(_staged[key])
+        df = build()
+        df.write.parquet(path)
+        _staged[key] = (path, df.schema)
+    path, schema = _staged[key]
+    return spark.read.schema(schema).parquet(path)
+
+
+def read_parquet(spark: SparkSession, path: str) -> DataFrame:
+    """A parquet table whose schema is looked up once per application, not on every read."""
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _schemas:
+        _schemas[key] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[key]).parquet(path)
 
 
 def forget_staged() -> None:

@@ -50,9 +50,9 @@ def colour_seed(spark: SparkSession) -> DataFrame:
     suffixes = ["00S", "00M", "00L", "0XL", "XXL", "3XL", "4XL"]
     names = dict(L.COLOUR_RULES)
     rows = [(names[c], f"{g}{c}") for g, codes in groups.items() for c in codes]
+    skus = F.array([F.concat("stem", F.lit(s)) for s in suffixes])
     return spark.createDataFrame(rows, "color string, stem string").select(
-        "color",
-        F.concat("stem", F.explode(F.array([F.lit(s) for s in suffixes]))).alias("sku"),
+        "color", F.explode(skus).alias("sku")
     )
 
 

@@ -84,7 +84,7 @@ def ads_daily(spark: SparkSession, folder: str) -> DataFrame:
       LEFT JOIN spending_ads n ON n.adset_id = m.adset_id AND n.date_start = m.date_start""")
 )
 def ads_budget(spark: SparkSession, folder: str) -> DataFrame:
-    return S.ads_budget(spark, folder)
+    return S.build_ads_budget(spark, folder)
 
 
 _DEVICE = (

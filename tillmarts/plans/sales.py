@@ -13,7 +13,12 @@ from tillmarts.functions import lookups as L
 from tillmarts.functions.jsons import json_items, json_list
 from tillmarts.functions.numbers import money_sum, safe_cast, safe_ratio, sign_flip
 from tillmarts.operators.filters import filter_in, outside
-from tillmarts.operators.joins import attach_colour, left_join, left_join_on, left_join_prefix
+from tillmarts.operators.joins import (
+    left_join,
+    left_join_cast_key,
+    left_join_on,
+    left_join_prefix,
+)
 from tillmarts.schemas import DETAIL_ITEM, REFERENCE_ITEM, as_text
 
 Stage = Callable[[DataFrame, str], DataFrame]
@@ -181,18 +186,24 @@ def day_attributes(lines: DataFrame, ads: DataFrame, calendar: DataFrame) -> Dat
     return left_join_on(days, calendar, F.col("fecha_documento"), "date_raw").drop("date_fb")
 
 
-def code_attributes(lines: DataFrame, master: DataFrame, groups: DataFrame) -> DataFrame:
-    """Master, group and colour of every variant code that occurs in the lines.
+def variant_attributes(
+    lines: DataFrame, master: DataFrame, groups: DataFrame, stock: DataFrame
+) -> DataFrame:
+    """Master, group, stock and colour of every (code, id) of a variant that occurs in the lines.
 
-    A code with several entries in a master gets several rows, as joining the master would give.
+    The prefix join, the casts of the key and the colour rules then run once per variant instead of
+    once per line. A code with several entries in a master gets several rows, as joining the
+    master to the lines would give.
     """
-    codes = lines.select("variant_code").filter(F.col("variant_code").isNotNull()).distinct()
+    variants = lines.select("variant_code", "variant_id").distinct()
+    variants = variants.withColumn("color", B.colour(F.col("variant_code")))
     products = master.select(
         "sku", "tipo_producto", "nombre_producto", "costo_neto", "precio_unitario"
     )
-    codes = left_join_on(codes, products, F.col("variant_code"), "sku").drop("sku")
-    codes = left_join_prefix(codes, groups, "variant_code", "variante_code_desc")
-    return attach_colour(codes, "variant_code")
+    variants = left_join_on(variants, products, F.col("variant_code"), "sku").drop("sku")
+    variants = left_join_prefix(variants, groups, "variant_code", "variante_code_desc")
+    levels = stock_by_variant(stock).withColumnRenamed("variant_id", "_stocked")
+    return left_join_cast_key(variants, levels, "variant_id", "_stocked").drop("_stocked")
 
 
 def product_groups(raw: DataFrame) -> DataFrame:
@@ -220,17 +231,17 @@ def sales_core(
     """Line-level sales with each line's share of the day's ad spend and all attributes.
 
     Everything keyed by day is first brought into one small table, and so is everything keyed by
-    variant code; the lines then take part in three joins only. ``stage`` may write those tables
-    out, which lets the planner see their real size before it places the joins.
+    the variant; the lines then take part in two joins only. ``stage`` may write those tables out,
+    which lets the planner see their real size before it places the joins.
     """
     signed = signed_lines(lines)
     days = stage(day_attributes(signed, ads, calendar), "days")
-    codes = stage(code_attributes(lines, master, groups), "codes")
-    levels = stage(stock_by_variant(stock), "stock-levels").withColumnRenamed("variant_id", "_variant")
-
+    variants = stage(variant_attributes(lines, master, groups, stock), "variants")
     joined = left_join(signed, days, ["fecha_documento"])
-    joined = left_join(joined, codes, ["variant_code"])
-    joined = joined.join(levels, F.col("variant_id").cast("string") == F.col("_variant"), "left")
+    # Null-safe: a line without a code still has the stock of its id.
+    variants = variants.withColumnsRenamed({"variant_code": "_code", "variant_id": "_id"})
+    same = F.col("variant_code").eqNullSafe(F.col("_code"))
+    joined = joined.join(variants, same & F.col("variant_id").eqNullSafe(F.col("_id")), "left")
 
     spend, count = F.col("costo_clp_fbads"), F.col("compras_mismo_dia")
     share = (
@@ -251,7 +262,7 @@ def sales_core(
         "variante_code_desc",
         "stock_actual",
         *calendar.columns,
-        F.coalesce("color", F.lit(L.COLOUR_OTHER)).alias("color"),
+        "color",
     )
 
 

@@ -13,6 +13,8 @@ SETTINGS = {
     # A hot key (one variant, office or NULL code holding a large share of the lines) is split by
     # the runtime planner instead of landing in one task.
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # ... even where the split costs another shuffle.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
 

@@ -137,8 +137,18 @@ def product_groups(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def document_types(spark: SparkSession) -> DataFrame:
-    rows = [(k, name, str(k)) for k, name in DOCUMENT_TYPES.items()]
-    return spark.createDataFrame(rows, "id bigint, name string, codeSii string")
+    """A table of known small size, so that the planner can broadcast it."""
+    rows = F.array(
+        *[
+            F.struct(
+                F.lit(k).cast("bigint").alias("id"),
+                F.lit(name).alias("name"),
+                F.lit(str(k)).alias("codeSii"),
+            )
+            for k, name in DOCUMENT_TYPES.items()
+        ]
+    )
+    return spark.range(1).select(F.inline(rows))
 
 
 def order_type_id() -> Column:
@@ -620,11 +630,16 @@ def ads_calendar(spark: SparkSession, folder: str) -> DataFrame:
     return calendar_of(days)
 
 
-def ads_budget(spark: SparkSession, folder: str) -> DataFrame:
+def build_ads_budget(spark: SparkSession, folder: str) -> DataFrame:
     daily = ads_plan.ads_daily(insights(spark, folder), ADS_AS_OF)
     return ads_plan.ads_budget(daily, creatives(spark, folder))
 
 
+def ads_budget(spark: SparkSession, folder: str) -> DataFrame:
+    """The ads mart, kept as a table."""
+    return staged(spark, folder, "ads-budget", lambda: build_ads_budget(spark, folder))
+
+
 def shifted_ads(spark: SparkSession, folder: str) -> DataFrame:
     """The ads mart with its days moved into the period of the orders."""
     return ads_budget(spark, folder).withColumn(

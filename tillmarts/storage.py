@@ -32,8 +32,9 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """A path nobody has written yet."""
-    return f"{shared_folder(spark)}/tillmarts/{label}-{uuid.uuid4().hex}"
+    """A path nobody has written yet, under a folder of this application."""
+    app = spark.sparkContext.applicationId
+    return f"{shared_folder(spark)}/tillmarts/{app}/{label}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

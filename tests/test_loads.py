@@ -193,3 +193,27 @@ def test_conditional_sums_and_counts(spark, rows):
     nulls = spark.createDataFrame([("k", 1), ("k", None), ("k", 1), ("l", None)], "k string, x int")
     assert rows(G.count_distinct(nulls, ["k"], "x", "n")) == [("k", 1), ("l", 0)]
     assert rows(G.count_nonnull(nulls, ["k"], "x", "n")) == [("k", 2), ("l", 0)]
+
+
+def test_date_filters(spark, rows):
+    df = spark.createDataFrame(
+        [(1, "2024-01-01T10:00:00-03:00"), (2, "2024-01-01T09:00:00-03:00"), (3, "junk"), (4, None)], "i int, t string"
+    )
+    # Noon UTC of the 4th less three days is noon UTC of the 1st, nine o'clock three hours behind.
+    assert rows(filters.filter_since(df, "t", "2024-01-04T12:00:00Z", 3), "i") == [(1,), (2,)]
+    assert rows(filters.filter_since(df, "t", "2024-01-04T12:30:00Z", 3), "i") == [(1,)]
+    days = spark.createDataFrame([(d,) for d in (1, 2, 3, 4)], "d int").selectExpr("make_date(2024, 1, d) AS d")
+    assert filters.filter_between_dates(days, "d", "2024-01-02", "2024-01-03").count() == 2
+
+
+def test_documents_and_stock_from_pages(spark):
+    from tillmarts.plans.sales import document_rows
+    from tillmarts.plans.stock import stock_rows
+
+    doc = document_rows(spark.sql("SELECT 1 AS id, named_struct('id', 9) AS document_type, 5 AS extra")).first()
+    assert len(doc) == 18 and (doc.document_type, doc.client, doc.details) == ('{"id":9}', "{}", "[]")
+    held = stock_rows(spark.sql("SELECT 1 AS id, 2 AS quantity, named_struct('id', 7) AS variant")).first()
+    assert held.asDict() == {
+        "id": 1, "quantity": 2.0, "quantityReserved": None, "quantityAvailable": None,
+        "variant": '{"id":7}', "office": "{}",
+    }

@@ -25,7 +25,7 @@ def plan(df) -> str:
 # One row in all: a global total, the bounds of a calendar or an id range, the first row by a sort.
 # ``interval_pairs`` and its users also order one row per shuffle partition.
 ONE_TASK_AT_THE_END = {
-    "date_table", "filter_id_range", "first_row", "gap_repair", "generate_series", "interval_pairs",
+    "build_marts", "date_table", "filter_id_range", "first_row", "gap_repair", "generate_series", "interval_pairs",
     "left_join_date_dim", "missing_ids", "sales_core", "sink_model", "sorted_list",
     "trailing_visit_totals", "ads_platform_calendar",
 }

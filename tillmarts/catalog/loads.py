@@ -5,14 +5,16 @@ from __future__ import annotations
 import datetime as dt
 from zoneinfo import ZoneInfo
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillmarts import standin as S
-from tillmarts.catalog.expected import expect
+from tillmarts.catalog.expected import expect, text
 from tillmarts.catalog.registry import query
+from tillmarts.functions.dates import timestamp_to_epoch
 from tillmarts.functions.lookups import LOCAL_ZONE
 from tillmarts.operators import loads
+from tillmarts.plans.sales import document_rows
 from tillmarts.sources import writers as W
 from tillmarts.sources.readers import scan_table
 from tillmarts.storage import fresh_path
@@ -98,20 +100,53 @@ _LAST = int(_END.timestamp())
 _FIRST = _LAST - (_DAYS_BACK + 1) * 86_400
 
 
+def _landed_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents with nested parts, as pages are flattened to; most parts are absent."""
+    orders = scan_table(spark, folder, "orders")
+
+    def ref(value: Column) -> Column:
+        return F.struct(value.cast("bigint").alias("id"))
+
+    return orders.select(
+        F.col("o_orderkey").alias("id"),
+        timestamp_to_epoch(F.col("o_orderdate")).alias("emissionDate"),
+        F.col("o_orderkey").alias("number"),
+        F.col("o_totalprice").alias("totalAmount"),
+        ref(S.order_type_id()).alias("document_type"),
+        ref(F.col("o_custkey")).alias("client"),
+        F.when(F.col("o_orderstatus") == "F", F.array(ref(F.col("o_orderkey")))).alias("payments"),
+    )
+
+
+_ABSENT = ", ".join(
+    f"{text(v) if v else 'CAST(NULL AS VARCHAR)'} AS {c}"
+    for c, v in (
+        ("expirationDate", None), ("generationDate", None), ("netAmount", None),
+        ("taxAmount", None), ("state", None), ("office", "{}"), ('"user"', "{}"),
+        ('"references"', "[]"), ("document_taxes", "[]"), ("details", "[]"), ("sellers", "[]"),
+    )
+)
+
+
 @query(
     expect(f"""
-      SELECT doc_id AS id, emissionDate, '{{"id":' || client_id || '}}' AS client FROM docs
+      SELECT doc_id AS id, emissionDate, document_number AS number, totalAmount,
+        '{{"id":' || document_type_id || '}}' AS document_type,
+        '{{"id":' || client_id || '}}' AS client,
+        CASE WHEN o_orderstatus = 'F' THEN '[{{"id":' || doc_id || '}}]' ELSE '[]' END AS payments,
+        {_ABSENT}
+      FROM docs
       WHERE day < DATE '1998-01-01' OR emissionDate BETWEEN {_FIRST} AND {_LAST}""")
 )
 def incremental_load(spark: SparkSession, folder: str) -> DataFrame:
     """A table loaded to the end of 1997, then twice the trailing window of a doubled source."""
     path = fresh_path(spark, "incremental")
-    source = S.document_headers(spark, folder).select("id", "emissionDate", "client")
-    W.sink_append(source.filter(F.col("emissionDate") < 883_612_800), path)
+    source = _landed_documents(spark, folder)
+    W.sink_append(document_rows(source.filter(F.col("emissionDate") < 883_612_800)), path)
     doubled = source.unionByName(source)
     for _ in range(2):
-        loads.incremental_load(doubled, path, _NOW, _DAYS_BACK, shape=lambda df: df)
-    return spark.read.parquet(path)
+        loads.incremental_load(doubled, path, _NOW, _DAYS_BACK, shape=document_rows)
+    return spark.read.schema(document_rows(source).schema).parquet(path)
 
 
 @query("SELECT o_orderkey AS id, o_custkey AS client FROM orders")

@@ -18,10 +18,12 @@ from tillmarts.catalog.expected import (
 )
 from tillmarts.catalog.registry import query
 from tillmarts.functions import lookups as L
-from tillmarts.plans import ads, sales, shop, stock
+from tillmarts.operators.sets import union_all
+from tillmarts.plans import ads, marts, sales, shop, stock
 from tillmarts.plans.calendar import calendar_of
 from tillmarts.schemas import SHOP_ORDER_COLUMNS
 from tillmarts.sources.readers import scan_table, series_between
+from tillmarts.storage import fresh_path
 
 _SALE_NAMES = ", ".join(text(n) for n in L.SALE_DOCUMENT_NAMES)
 
@@ -300,3 +302,41 @@ def order_rows(spark: SparkSession, folder: str) -> DataFrame:
       AS returning_visitors""")
 def trailing_visit_totals(spark: SparkSession, folder: str) -> DataFrame:
     return shop.trailing_visit_totals(scan_table(spark, folder, "events"), "2024-02-15")
+
+
+_MART_ROWS = {
+    "stg_document_lines": "doc_lines",
+    "stg_stock": "stock_rows",
+    "ads_budget": "daily_ads",
+    "date_table": "order_calendar",
+    "sales_core": "core",
+}
+
+
+@query(
+    expect(
+        " UNION ALL ".join(
+            f"SELECT '{mart}' AS mart, count(*) AS n FROM {block}"
+            for mart, block in _MART_ROWS.items()
+        )
+    )
+)
+def build_marts(spark: SparkSession, folder: str) -> DataFrame:
+    """All marts written from their sources; the row counts of those that keep their input's rows."""
+    sources = marts.Sources(
+        documents=S.documents(spark, folder),
+        document_types=S.document_types(spark),
+        stock=S.stock_raw(spark, folder),
+        product_master=S.product_master(spark, folder),
+        product_master_2=S.product_groups_raw(spark, folder),
+        ad_insights=S.insights(spark, folder),
+        creatives=S.creatives(spark, folder),
+        platform_insights=S.platform_insights(spark, folder),
+        calendar=S.sales_calendar(spark, folder),
+    )
+    built = marts.build_marts(spark, sources, fresh_path(spark, "marts"), S.ADS_AS_OF)
+    counts = [
+        built[mart].agg(F.count(F.lit(1)).alias("n")).select(F.lit(mart).alias("mart"), "n")
+        for mart in _MART_ROWS
+    ]
+    return union_all(*counts)

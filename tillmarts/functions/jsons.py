@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -56,6 +58,20 @@ def json_or_empty(col: Column, empty: str) -> Column:
     return F.coalesce(F.to_json(col), F.lit(empty))
 
 
+def shaped(df: DataFrame, columns: Sequence[str], nested: Mapping[str, str]) -> DataFrame:
+    """Exactly ``columns``, in order. Those in ``nested`` become JSON text, the given empty value where
+    they are missing; an absent plain column is NULL."""
+    present = set(df.columns)
+
+    def field(name: str) -> Column:
+        if name not in present:
+            return F.lit(nested.get(name)).cast("string").alias(name)
+        value = json_or_empty(F.col(name), nested[name]) if name in nested else F.col(name)
+        return value.alias(name)
+
+    return df.select([field(c) for c in columns])
+
+
 def stringify_all(df: DataFrame) -> DataFrame:
     """Every column as text; missing stays NULL."""
     return df.select([F.col(c).cast("string").alias(c) for c in df.columns])

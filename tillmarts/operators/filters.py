@@ -54,6 +54,20 @@ def filter_date_window(
     return df.filter(F.col(epoch_col).between(start, end))
 
 
+def filter_between_dates(
+    df: DataFrame, col: str, start: dt.date | str, end: dt.date | str
+) -> DataFrame:
+    """Rows dated from ``start`` to ``end``, both included."""
+    first, last = (F.lit(str(d)).cast("date") for d in (start, end))
+    return df.filter(F.col(col).between(first, last))
+
+
+def filter_since(df: DataFrame, col: str, now: str, days_back: int) -> DataFrame:
+    """Rows whose timestamp text is at most ``days_back`` days before ``now`` (with its zone)."""
+    start = F.lit(now).cast("timestamp") - F.expr(f"interval {days_back * 24} hours")
+    return df.filter(F.col(col).try_cast("timestamp") >= start)
+
+
 def filter_id_range(df: DataFrame, col: str, first: int, last: int) -> DataFrame:
     return df.filter(F.col(col).between(first, last))
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tillmarts.functions import dates as D
 from tillmarts.functions import labels as B
 from tillmarts.functions import lookups as L
-from tillmarts.functions.jsons import json_items, json_list
+from tillmarts.functions.jsons import json_items, json_list, shaped
 from tillmarts.functions.numbers import money_sum, safe_cast, safe_ratio, sign_flip
 from tillmarts.operators.filters import filter_in, outside
 from tillmarts.operators.joins import (
@@ -19,7 +19,13 @@ from tillmarts.operators.joins import (
     left_join_on,
     left_join_prefix,
 )
-from tillmarts.schemas import DETAIL_ITEM, REFERENCE_ITEM, as_text
+from tillmarts.schemas import (
+    DETAIL_ITEM,
+    DOCUMENT_COLUMNS,
+    DOCUMENT_NESTED,
+    REFERENCE_ITEM,
+    as_text,
+)
 
 Stage = Callable[[DataFrame, str], DataFrame]
 
@@ -45,6 +51,11 @@ def as_is(df: DataFrame, label: str) -> DataFrame:
     return df
 
 
+def document_rows(items: DataFrame) -> DataFrame:
+    """Documents as they come from landed pages, as 18 stored columns with nested parts as JSON text."""
+    return shaped(items, DOCUMENT_COLUMNS, DOCUMENT_NESTED)
+
+
 def raw_document(documents: DataFrame, unique_ids: bool = True) -> DataFrame:
     """One row per document line, repeated for each reference of the document.
 

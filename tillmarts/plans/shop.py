@@ -5,23 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillmarts.functions.jsons import json_or_empty
+from tillmarts.functions.jsons import shaped
 from tillmarts.schemas import SHOP_ORDER_COLUMNS, SHOP_ORDER_NESTED
 
 
 def order_rows(orders: DataFrame) -> DataFrame:
     """Orders as 43 columns, nested parts as JSON text; absent fields are NULL or empty JSON."""
-    present = set(orders.columns)
-
-    def field(name: str):
-        if name in SHOP_ORDER_NESTED:
-            empty = SHOP_ORDER_NESTED[name]
-            value = json_or_empty(F.col(name), empty) if name in present else F.lit(empty)
-        else:
-            value = F.col(name) if name in present else F.lit(None).cast("string")
-        return value.alias(name)
-
-    return orders.select([field(c) for c in SHOP_ORDER_COLUMNS])
+    return shaped(orders, SHOP_ORDER_COLUMNS, SHOP_ORDER_NESTED)
 
 
 def trailing_visit_totals(

@@ -8,11 +8,19 @@ from pyspark.sql import functions as F
 from tillmarts.functions import dates as D
 from tillmarts.functions import labels as B
 from tillmarts.functions import lookups as L
+from tillmarts.functions.jsons import shaped
 from tillmarts.functions.numbers import MONEY, money_sum
 from tillmarts.operators.filters import filter_in
 from tillmarts.operators.joins import attach_colour, left_join_on, left_join_prefix
 from tillmarts.operators.sets import union_all
-from tillmarts.schemas import STOCK_OFFICE, STOCK_VARIANT
+from tillmarts.schemas import STOCK_COLUMNS, STOCK_NESTED, STOCK_OFFICE, STOCK_VARIANT
+
+
+def stock_rows(items: DataFrame) -> DataFrame:
+    """Stock as it comes from landed pages, as stored rows with variant and branch as JSON text."""
+    rows = shaped(items, STOCK_COLUMNS, STOCK_NESTED)
+    doubles = ["quantity", "quantityReserved", "quantityAvailable"]
+    return rows.withColumns({c: F.col(c).cast("double") for c in doubles})
 
 
 def stg_stock(stock: DataFrame) -> DataFrame:

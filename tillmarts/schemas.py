@@ -114,3 +114,23 @@ SHOP_ORDER_NESTED = {
     "shipping_address": "{}",
     "line_items": "[]",
 }
+
+# Columns of one stored sales document and of one stored stock row, in the same way.
+DOCUMENT_COLUMNS = [
+    "id", "emissionDate", "expirationDate", "generationDate", "number", "totalAmount", "netAmount",
+    "taxAmount", "state", "document_type", "client", "office", "user", "references",
+    "document_taxes", "details", "sellers", "payments",
+]
+DOCUMENT_NESTED = {
+    "document_type": "{}",
+    "client": "{}",
+    "office": "{}",
+    "user": "{}",
+    "references": "[]",
+    "document_taxes": "[]",
+    "details": "[]",
+    "sellers": "[]",
+    "payments": "[]",
+}
+STOCK_COLUMNS = ["id", "quantity", "quantityReserved", "quantityAvailable", "variant", "office"]
+STOCK_NESTED = {"variant": "{}", "office": "{}"}

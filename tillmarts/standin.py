@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from tillmarts.functions import dates as D
 from tillmarts.functions import labels as B
 from tillmarts.functions import lookups as L
-from tillmarts.functions.jsons import nested_to_json
 from tillmarts.functions.numbers import money_sum
 from tillmarts.plans import ads as ads_plan
 from tillmarts.plans import sales, stock as stock_plan
@@ -299,7 +298,7 @@ def stock_raw(spark: SparkSession, folder: str) -> DataFrame:
     v = variants(spark, folder)
     joined = lots.join(v, F.col("l_partkey") == F.col("variant_id"))
     office = F.col("office_id")
-    return nested_to_json(
+    return stock_plan.stock_rows(
         joined.select(
             (F.col("l_partkey") * 1_000_000 + F.col("l_suppkey")).alias("id"),
             "quantity",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -56,6 +57,30 @@ def test_upsert(spark, rows, partition):
         assert rows(stored, "id", "day", "n") == expected
 
 
+@pytest.mark.parametrize("listed", [1_000, 0])
+def test_upsert_reads_and_replaces_touched_partitions_only(spark, rows, monkeypatch, listed):
+    monkeypatch.setattr(W, "LISTED_PARTITIONS", listed)
+    path = fresh_path(spark, "test-partitions")
+    start = [("a", "1", 1), ("b", "2", 2), ("n", None, 3)]
+    W.sink_upsert(path, spark.createDataFrame(start, BASE), "id", ["n"], "day")
+    stored = spark.read.schema(BASE).parquet(path)
+    untouched = {f for f in stored.inputFiles() if "day=1" in f}
+    batch = spark.createDataFrame([("m", None, 4), ("b", "2", 5)], BASE)
+    text = W.touched_partitions(stored, batch, "day")._jdf.queryExecution().executedPlan().toString()
+    assert bool(re.search(r"PartitionFilters: \[\(+day", text)) == (listed > 0)
+    W.sink_upsert(path, batch, "id", ["n"], "day")
+    stored = spark.read.schema(BASE).parquet(path)
+    assert rows(stored, "id", "day", "n") == [("a", "1", 1), ("b", "2", 5), ("m", None, 4), ("n", None, 3)]
+    assert untouched <= set(stored.inputFiles())
+
+
+def test_an_unreadable_table_is_not_an_absent_one(spark, tmp_path):
+    assert not W.table_exists(spark, str(tmp_path / "none"))
+    (tmp_path / "broken.parquet").write_text("no parquet")
+    with pytest.raises(Exception):
+        W.table_exists(spark, str(tmp_path))
+
+
 def test_upsert_adds_rows_without_a_key(spark, rows):
     base = spark.createDataFrame([(None, "1", 1), ("a", "1", 2)], BASE)
     batch = spark.createDataFrame([(None, "1", 3), (None, "1", 3)], BASE)

@@ -58,13 +58,35 @@ def sink_model(
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` holds a table. Failures other than its absence are raised."""
     try:
         spark.read.parquet(path).schema
-    except AnalysisException:
-        return False
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise
     return True
 
 
+# More partition values than this are not listed in a filter.
+LISTED_PARTITIONS = 1_000
+
+
+def touched_partitions(base: DataFrame, batch: DataFrame, column: str) -> DataFrame:
+    """The rows of ``base`` in the partitions that occur in ``batch``, the NULL one included.
+
+    The values are listed in a filter, which prunes the scan; where there are too many to list,
+    they are joined.
+    """
+    values = batch.select(column).distinct()
+    listed = [row[0] for row in values.limit(LISTED_PARTITIONS + 1).collect()]
+    if len(listed) > LISTED_PARTITIONS:
+        keyed = values.withColumnRenamed(column, "_touched")
+        return base.join(keyed, F.col(column).eqNullSafe(F.col("_touched")), "left_semi")
+    known = F.col(column).isin([v for v in listed if v is not None])
+    return base.filter(known | F.col(column).isNull() if None in listed else known)
+
+
 def upsert(base: DataFrame, staging: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame:
     """``base`` with rows of ``staging`` replacing those of equal key, the rest of ``staging`` added.
 
@@ -101,10 +123,7 @@ def sink_upsert(
         sink_empty_like(staging, path)
     base = spark.read.schema(staging.schema).parquet(path)
     if partition_by:
-        # Days in the staged batch: a semi join whose build side is the few staged days prunes
-        # the scan of the base table to those partitions.
-        touched = staging.select(partition_by).distinct()
-        base = base.join(touched, partition_by, "left_semi")
+        base = touched_partitions(base, staging, partition_by)
     merged = materialize(upsert(base, staging, key, order_by).select(*staging.columns), "upsert")
     if partition_by:
         _gathered(merged, [partition_by]).write.mode("overwrite").option(

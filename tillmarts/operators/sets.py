@@ -62,9 +62,12 @@ def missing_ids(
     wide interval neither becomes one long array nor one long task.
     """
     start, stop = F.col("_start"), F.least(F.col("_start") + run - 1, F.col(last))
+    # A fixed number of partitions: the runs are few bytes but many ids, so they must not be
+    # coalesced by their size.
+    tasks = int(intervals.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     runs = intervals.select(
         first, last, F.explode(F.sequence(F.col(first), F.col(last), F.lit(run))).alias("_start")
-    ).repartition("_start")
+    ).repartition(tasks, "_start")
     expected = runs.select(first, last, F.explode(F.sequence(start, stop)).alias(col))
     return expected.join(fetched.select(col).distinct(), col, "left_anti").select(first, last, col)
 

@@ -5,16 +5,31 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tillmarts.llm import exact_dedup, mixing, sharding, topk
+from tillmarts.llm import disclosure, exact_dedup, html_text, mixing, packing, sharding, token_output, topk, toxicity
 from tillmarts.llm.common import LOWER, UPPER, table
+from tillmarts.storage import fresh_path
 
 Run = Callable[[SparkSession, str], DataFrame]
 
 SHARDS = 8
 
 
+def held_out(key: str = "doc_id"):
+    """The fold that labels are never learnt from: CRC-32 of the key as text, modulo 4, is 2."""
+    return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % 4 == 2, F.lit(False))
+
+
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    model = toxicity.train(docs, labels.filter(~held_out()))
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
 def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     index = f"digest_index_{uuid.uuid4().hex}"
     fates = exact_dedup.dedup(spark, table(spark, folder, "documents"), index)
@@ -55,11 +70,34 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
 
 
+def op4_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.extract(table(spark, folder, "pages"))
+
+
 def op5_sharding(spark: SparkSession, folder: str) -> DataFrame:
     placed = sharding.place(table(spark, folder, "documents"), [1.0] * SHARDS)
     return placed.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
+def op6_token_output(spark: SparkSession, folder: str) -> DataFrame:
+    path = fresh_path(spark, "token-blocks")
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    token_output.write_ids(table(spark, folder, "documents"), path, tokenizer, end_id=0)
+    return token_output.read_documents(spark, path)
+
+
+def op7_disclosure(spark: SparkSession, folder: str) -> DataFrame:
+    return disclosure.report(disclosure.find(table(spark, folder, "documents")))
+
+
+def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    pieces = packing.cut(table(spark, folder, "documents"), tokenizer, end_id=1, drops_space=True)
+    return packing.pack(pieces).select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"
+    )
+
+
 def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     plan = mixing.plan(table(spark, folder, "documents"))
     return plan.select("doc_id", "size", "source_size", "target", "taken")
@@ -109,8 +147,12 @@ OP10_SQL = (
 )
 
 QUERIES: dict[str, Run] = {
-    run.__name__: run for run in (op2_exact_dedup, op3_topk_search, op5_sharding, op10_mixing)
-}
+    run.__name__: run
+    for run in (
+        op1_toxicity, op2_exact_dedup, op3_topk_search, op4_html_text, op5_sharding, op6_token_output,
+        op7_disclosure, op8_packing, op10_mixing,
+    )
+}
 SQL: dict[str, str] = {
     "op2_exact_dedup": OP2_SQL,
     "op3_topk_search": OP3_SQL,

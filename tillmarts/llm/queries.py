@@ -9,7 +9,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillmarts.llm import disclosure, exact_dedup, html_text, mixing, packing, sharding, token_output, topk, toxicity
+from tillmarts.llm import (
+    disclosure, exact_dedup, html_text, jaccard_join, mixing, packing, sharding, token_output, topk, toxicity,
+)
 from tillmarts.llm.common import LOWER, UPPER, table
 from tillmarts.storage import fresh_path
 
@@ -98,6 +100,10 @@ def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.join(table(spark, folder, "documents"), words=4, percent=85)
+
+
 def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     plan = mixing.plan(table(spark, folder, "documents"))
     return plan.select("doc_id", "size", "source_size", "target", "taken")
@@ -150,7 +156,7 @@ QUERIES: dict[str, Run] = {
     run.__name__: run
     for run in (
         op1_toxicity, op2_exact_dedup, op3_topk_search, op4_html_text, op5_sharding, op6_token_output,
-        op7_disclosure, op8_packing, op10_mixing,
+        op7_disclosure, op8_packing, op9_jaccard_join, op10_mixing,
     )
 }
 SQL: dict[str, str] = {

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import re
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,6 +21,24 @@ LOWER = "abcdefghijklmnopqrstuvwxyz"
 LOWERED = str.maketrans(UPPER, LOWER)
 
 
+_shipped: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Hand this library to the Python workers, once per application, wherever the driver found it."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parents[1]
+    # The driver serves this file to executors for as long as the application runs.
+    archive = Path(tempfile.mkdtemp(prefix="code-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -42,7 +63,8 @@ def map_batches(
     schema: str,
     function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
 ) -> DataFrame:
-    """``mapInArrow`` under one name, so that callers read alike."""
+    """``mapInArrow`` with a function of this library."""
+    ship_code(df.sparkSession)
     return df.mapInArrow(function, schema)
 
 

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from tillmarts.llm.common import fresh_name, map_batches
+from tillmarts.llm.common import fresh_name, map_batches, ship_code
 
 #: Most labelled rows the model is fitted on.
 SAMPLE = 12_000
@@ -170,6 +170,7 @@ def train(
     docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", sample: int = SAMPLE
 ) -> Model:
     """Fit on at most ``sample`` of the rows of ``labels`` (key, toxic) that ``docs`` has."""
+    ship_code(docs.sparkSession)
     known = labels.filter(F.col(key).isNotNull() & F.col("toxic").isNotNull())
     known = known.groupBy(F.col(key).cast("long").alias("_key")).agg(F.max("toxic").cast("int").alias("toxic"))
     known = known.join(docs.select(F.col(key).cast("long").alias("_key")).distinct(), "_key", "left_semi")
@@ -191,6 +192,7 @@ def train(
 
 def with_score(docs: DataFrame, model: Model, name: str, text: str = "text") -> DataFrame:
     """``docs`` with the score of the whole text in column ``name``."""
+    ship_code(docs.sparkSession)
     at = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -40,6 +40,10 @@ BLOCK_IDS = 1 << 18
 COUNTS = (240, 120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1)
 BITS = (0, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60)
 
+#: What each selector's ids stay below; selector 1 adds nothing to what selector 0 holds.
+_LIMITS = np.array([1 << b for b in BITS[:-1]], np.uint64)
+_NARROWEST = np.searchsorted(_LIMITS, np.arange(1 << 16, dtype=np.uint64), side="right").astype(np.uint8)
+
 BLOCK = "part int, seq int, doc_ids binary, id_known binary, ends binary, n_ids int, words binary"
 
 
@@ -50,13 +54,18 @@ def pack_words(ids: np.ndarray) -> np.ndarray:
     values[:n] = ids
     if n and int(values.max()) >= 1 << 60:
         raise ValueError("an id needs more than 60 bits")
+    # The first selector whose bits hold the value; the zeros behind the end fit any.
+    narrowest = _NARROWEST[np.minimum(values, len(_NARROWEST) - 1).astype(np.int64)]
+    large = np.nonzero(values >= len(_NARROWEST))[0]
+    narrowest[large] = np.searchsorted(_LIMITS, values[large], side="right")
     choice = np.full(n, len(COUNTS) - 1, np.uint8)
     for selector in range(len(COUNTS) - 2, -1, -1):
-        count, bits = COUNTS[selector], BITS[selector]
-        # Positions from which the next ``count`` values all fit, by counting those that don't.
-        wide = np.zeros(n + COUNTS[0] + 1, np.int32)
-        np.cumsum(values >> np.uint64(bits) != 0, out=wide[1:])
-        choice[wide[count : count + n] == wide[:n]] = selector
+        fits, length = narrowest <= selector, 1
+        while length < COUNTS[selector]:  # so many in a row fit, by doubling
+            more = min(length, COUNTS[selector] - length)
+            fits = fits[:-more] & fits[more:]
+            length += more
+        choice[fits[:n]] = selector
     steps = np.array(COUNTS)[choice].tolist()
     starts, at = [], 0
     while at < n:

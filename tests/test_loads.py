@@ -4,23 +4,17 @@ from __future__ import annotations
 
 import datetime as dt
 import random
-import re
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillmarts import storage
 from tillmarts.operators import aggregates as G
 from tillmarts.operators import filters, joins, loads, sets
 from tillmarts.sources import readers as R
 from tillmarts.sources import writers as W
-from tillmarts.storage import fresh_path
-
-
-def test_colour_seed(spark):
-    seed = R.colour_seed(spark)
-    assert seed.count() == 308 and seed.select("sku").distinct().count() == 301
-    assert seed.filter("sku = '2260LILA3XL'").first().color == "Lila"
+from tillmarts.storage import fresh_path, materialize
 
 
 def test_seed_with_a_stray_blank_in_the_header(spark, tmp_path, rows):
@@ -37,6 +31,40 @@ def test_pages(spark, tmp_path, rows, multi_line):
     assert rows(R.read_json_pages(spark, str(tmp_path), item, "orders", multi_line)) == [(1,), (2,)]
 
 
+def test_malformed_pages_are_an_error_or_set_apart(spark, tmp_path, rows):
+    pages = ['{"items": [{"id": 1}]}', '{"items": [{"id": 2}', '{"items": [{"id": 3}]}', '{"items": 5}', "{}"]
+    (tmp_path / "a.json").write_text("\n".join(pages))
+    item = T.StructType.fromDDL("id bigint")
+    with pytest.raises(Exception):
+        R.read_json_pages(spark, str(tmp_path), item).collect()
+    good, bad = R.split_json_pages(spark, str(tmp_path), item)
+    assert rows(good) == [(1,), (3,)]
+    assert rows(bad) == sorted([(pages[1],), (pages[3],)])
+
+
+def test_shared_folder_must_be_named_on_a_cluster():
+    class Context:
+        master, applicationId = "spark://host:7077", "app"
+
+        def getConf(self):
+            return {}
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        storage.shared_folder(Session())
+
+
+def test_a_reader_sees_new_columns(spark, tmp_path):
+    for n in (1, 2):
+        spark.range(3).selectExpr(*["id AS c%d" % i for i in range(n)]).write.mode("overwrite").parquet(str(tmp_path / "t.parquet"))
+        assert len(R.scan_table(spark, str(tmp_path), "t").columns) == n
+
+
 def test_series(spark):
     assert R.date_series(spark, "2024-02-28", "2024-03-01").count() == 3
 
@@ -57,28 +85,81 @@ def test_upsert(spark, rows, partition):
         assert rows(stored, "id", "day", "n") == expected
 
 
-@pytest.mark.parametrize("listed", [1_000, 0])
-def test_upsert_reads_and_replaces_touched_partitions_only(spark, rows, monkeypatch, listed):
-    monkeypatch.setattr(W, "LISTED_PARTITIONS", listed)
+def test_upsert_reads_and_replaces_touched_partitions_only(spark, rows):
     path = fresh_path(spark, "test-partitions")
     start = [("a", "1", 1), ("b", "2", 2), ("n", None, 3)]
     W.sink_upsert(path, spark.createDataFrame(start, BASE), "id", ["n"], "day")
     stored = spark.read.schema(BASE).parquet(path)
     untouched = {f for f in stored.inputFiles() if "day=1" in f}
     batch = spark.createDataFrame([("m", None, 4), ("b", "2", 5)], BASE)
-    text = W.touched_partitions(stored, batch, "day")._jdf.queryExecution().executedPlan().toString()
-    assert bool(re.search(r"PartitionFilters: \[\(+day", text)) == (listed > 0)
+    values = materialize(batch.select("day").distinct(), "test-values")
+    text = W.touched_partitions(stored, values, "day")._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in text and "Exchange hashpartitioning" not in text
     W.sink_upsert(path, batch, "id", ["n"], "day")
     stored = spark.read.schema(BASE).parquet(path)
     assert rows(stored, "id", "day", "n") == [("a", "1", 1), ("b", "2", 5), ("m", None, 4), ("n", None, 3)]
     assert untouched <= set(stored.inputFiles())
 
 
+@pytest.mark.parametrize("partition", [None, "day"])
+def test_a_failed_upsert_leaves_the_table_and_can_be_repeated(spark, rows, monkeypatch, partition):
+    path = fresh_path(spark, "test-failure")
+    W.sink_upsert(path, spark.createDataFrame([("a", "1", 1), ("b", "1", 2)], BASE), "id", ["n"], partition)
+    batch = spark.createDataFrame([("b", "1", 5), ("c", "1", 3)], BASE)
+    right = W.upsert
+    with monkeypatch.context() as m:
+        fault = F.when(F.col("id") == "c", F.raise_error(F.lit("lost"))).otherwise(F.col("n")).cast("int")
+        m.setattr(W, "upsert", lambda *args: right(*args).withColumn("n", fault))
+        with pytest.raises(Exception, match="lost"):
+            W.sink_upsert(path, batch, "id", ["n"], partition)
+    stored = W.read_upserted(spark, path).select("id", "n")
+    assert rows(stored) == [("a", 1), ("b", 2)]
+    W.sink_upsert(path, batch, "id", ["n"], partition)
+    assert rows(W.read_upserted(spark, path).select("id", "n")) == [("a", 1), ("b", 5), ("c", 3)]
+
+
+def test_empty_text_is_the_null_partition(spark, rows):
+    path = fresh_path(spark, "test-empty-text")
+    W.sink_upsert(path, spark.createDataFrame([("a", None, 1), ("d", "1", 2)], BASE), "id", ["n"], "day")
+    W.sink_upsert(path, spark.createDataFrame([("b", "", 3), ("c", "", 4)], BASE), "id", ["n"], "day")
+    stored = spark.read.schema(BASE).parquet(path)
+    assert rows(stored, "id", "day", "n") == [("a", None, 1), ("b", None, 3), ("c", None, 4), ("d", "1", 2)]
+
+
+def test_a_key_may_not_move(spark, rows):
+    path = fresh_path(spark, "test-moved")
+    W.sink_upsert(path, spark.createDataFrame([("a", "1", 1), ("b", None, 1)], BASE), "id", ["n"], "day")
+    for moved in ([("a", "2", 9)], [("b", "2", 9)], [("x", "1", 9), ("x", "2", 9)]):
+        with pytest.raises(ValueError, match="two partitions"):
+            W.sink_upsert(path, spark.createDataFrame(moved, BASE), "id", ["n"], "day")
+    assert rows(spark.read.schema(BASE).parquet(path), "id", "day", "n") == [("a", "1", 1), ("b", None, 1)]
+
+
+def test_rows_without_a_key_are_added_by_every_run(spark):
+    path = fresh_path(spark, "test-null-keys")
+    for n in (1, 2, 3):
+        W.sink_upsert(path, spark.createDataFrame([(None, "1", 1)], BASE), "id", ["n"], "day")
+        assert spark.read.parquet(path).count() == n
+
+
+def test_buckets(spark, rows):
+    path = fresh_path(spark, "test-buckets")
+    first = spark.createDataFrame([(str(i), "1", i) for i in range(50)], BASE)
+    W.sink_upsert(path, first, "id", ["n"], buckets=8)
+    W.sink_upsert(path, first.filter("n = 7").withColumn("n", F.lit(70)), "id", ["n"], buckets=8)
+    stored = W.read_upserted(spark, path)
+    assert stored.columns == ["id", "day", "n"]
+    assert rows(stored, "n") == sorted((i if i != 7 else 70,) for i in range(50))
+
+
 def test_an_unreadable_table_is_not_an_absent_one(spark, tmp_path):
     assert not W.table_exists(spark, str(tmp_path / "none"))
     (tmp_path / "broken.parquet").write_text("no parquet")
     with pytest.raises(Exception):
         W.table_exists(spark, str(tmp_path))
+    (tmp_path / "emptied").mkdir()
+    with pytest.raises(Exception):
+        W.table_exists(spark, str(tmp_path / "emptied"))
 
 
 def test_upsert_adds_rows_without_a_key(spark, rows):
@@ -124,6 +205,46 @@ def test_incremental_load(spark, rows):
     assert rows(spark.read.parquet(path), "id", "body") == [(1, "a"), (2, "b"), (5, "new")]
 
 
+def test_increment_sets_bad_records_apart(spark, rows):
+    path, rejects = fresh_path(spark, "test-increment"), fresh_path(spark, "test-rejects")
+    source = spark.createDataFrame([(1, 1, "5"), (2, 1, "x"), (3, 1, None)], DOCS)
+    loads.append_new(source, path, lambda df: df, "id", casts={"body": "bigint"}, rejects=rejects)
+    assert rows(spark.read.parquet(path), "id", "body") == [(1, 5), (3, None)]
+    assert rows(spark.read.parquet(rejects)) == [(2, 1, "x")]
+
+
+def test_an_emptied_target_stops_the_increment(spark, tmp_path):
+    source = spark.createDataFrame([(1, 1, "5")], DOCS)
+    with pytest.raises(Exception):
+        loads.append_new(source, str(tmp_path), lambda df: df, "id")
+
+
+def test_the_target_of_an_increment_is_not_shuffled(spark):
+    target = spark.range(2_000_000).select(F.col("id"), F.lit("x").alias("body"))
+    path = fresh_path(spark, "test-target")
+    target.write.parquet(path)
+    batch = spark.range(1_999_990, 2_000_010).select("id")
+    out = joins.anti_join_existing(batch, spark.read.parquet(path), "id")
+    assert out.count() == 10
+    plan = out._jdf.queryExecution().optimizedPlan()  # the keys of the batch are a written table
+    text = out._jdf.queryExecution().executedPlan().toString()
+    semi = text[text.index("LeftSemi") :]
+    assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in semi, plan
+
+
+def test_gap_repair_takes_one_record_per_id(spark, rows):
+    second = spark.createDataFrame([(2, "b"), (2, "a"), (3, "c")], "id bigint, body string")
+    loaded = spark.createDataFrame([(1, "x"), (4, "y")], "id bigint, body string")
+    out = loads.gap_repair(loaded, second, ids(spark, [1, 5]), order_by=["body"])
+    assert rows(out) == [(1, "x"), (2, "a"), (3, "c"), (4, "y")]
+
+
+def test_a_wide_interval_is_cut_in_levels(spark):
+    wide = spark.createDataFrame([(0, 10**12)], "first_id bigint, last_id bigint")
+    spans = sets.cut_interval(wide, F.col("first_id"), F.col("last_id"), 10**8, "_span")
+    assert spans.count() == 10**4 + 1
+
+
 def ids(spark, values):
     return spark.createDataFrame([(v,) for v in values], "id bigint")
 
@@ -205,12 +326,28 @@ def test_lookup_default(spark, rows):
     ]
 
 
+def test_dictionaries_hold_one_entry_per_key(spark, rows):
+    df = spark.createDataFrame([("a",), ("b",)], "ad_id string")
+    ads = spark.createDataFrame([("a", "old", 1), ("a", "new", 2), ("b", "x", 1), ("b", "y", 1)], "id string, v string, at int")
+    got = joins.lookup_default(df, ads, "ad_id", "id", {"v": "v"}, order_by=["at"])
+    assert rows(got) == [("a", "new"), ("b", "y")]
+    right = ads.withColumnRenamed("id", "ad_id")
+    assert rows(joins.coalesce_update(df, right, "ad_id", ["v"], ["at"])) == [("a", "new"), ("b", "y")]
+
+
 def test_children_and_unnest(spark, rows):
     df = spark.createDataFrame([(1, [(5,)]), (2, []), (3, None)], "id int, refs array<struct<n:int>>")
     assert rows(joins.explode_children(df, "id", "refs", "document_id")) == [(1, 5)]
     assert joins.unnest(df, F.col("refs"), "r").count() == 1
 
 
+def test_sums_neither_round_nor_abort(spark, rows):
+    small = spark.range(100_000).select(F.lit("k").alias("k"), F.lit(0.00004).alias("v"))
+    large = spark.createDataFrame([("l", 1e15), ("l", 2e14), ("l", 0.5)], "k string, v double")
+    out = G.sum_by_key(small.unionByName(large), ["k"], {"v": "v"})
+    assert rows(out) == [("k", 4.0), ("l", 1.2e15 + 0.5)]
+
+
 def test_conditional_sums_and_counts(spark, rows):
     df = spark.createDataFrame([("k", "a", "1"), ("k", "b", "2"), ("k", "a", "4"), ("l", "c", "8")], "k string, t string, v string")
     out = G.conditional_sums(df, ["k"], "t", F.col("v"), {"a": "a", "b": "b"}, "bigint")

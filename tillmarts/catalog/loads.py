@@ -10,11 +10,16 @@ from pyspark.sql import functions as F
 
 from tillmarts import standin as S
 from tillmarts.catalog.expected import expect, text
+from tillmarts.catalog.models import SHOP_SELECT
 from tillmarts.catalog.registry import query
 from tillmarts.functions.dates import timestamp_to_epoch
 from tillmarts.functions.lookups import LOCAL_ZONE
+from tillmarts.functions.jsons import stringify_all
 from tillmarts.operators import loads
+from tillmarts.plans import loads as plans
 from tillmarts.plans.sales import document_rows
+from tillmarts.plans.shop import order_rows
+from tillmarts.schemas import SHOP_ORDER_COLUMNS
 from tillmarts.sources import writers as W
 from tillmarts.sources.readers import scan_table
 from tillmarts.storage import fresh_path
@@ -28,10 +33,10 @@ def _customers(spark: SparkSession, folder: str) -> DataFrame:
     return scan_table(spark, folder, "customer").select("c_custkey", "c_name", "c_acctbal")
 
 
-@query("SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderstatus <> 'P'")
+@query("SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders")
 def sink_append(spark: SparkSession, folder: str) -> DataFrame:
     path, orders = fresh_path(spark, "append"), _orders(spark, folder)
-    for status in ("O", "F"):
+    for status in ("O", "F", "P"):
         W.sink_append(orders.filter(F.col("o_orderstatus") == status), path)
     return spark.read.parquet(path)
 
@@ -46,31 +51,62 @@ def sink_overwrite(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     expect("""
-      SELECT id, ad_id, date_start,
-        CAST(spend AS DOUBLE) + CASE WHEN date_start >= '2024-01-11' THEN 1 ELSE 0 END AS spend
+      SELECT * REPLACE (CASE WHEN date_start >= '2024-01-11' THEN ad_name || ', 1' ELSE ad_name END AS ad_name)
       FROM insight_rows""")
 )
 def sink_upsert(spark: SparkSession, folder: str) -> DataFrame:
-    """Insights to the 20th, then twice a batch from the 11th on with other values and duplicates."""
+    """Insights to the 20th, then twice a batch from the 11th on with other names and duplicates."""
     path = fresh_path(spark, "upsert-target")
-    rows = S.insights(spark, folder).select(
-        "id", "ad_id", F.col("spend").cast("double").alias("spend"), "date_start"
-    )
-    W.sink_upsert(path, rows.filter("date_start <= '2024-01-20'"), "id", ["spend"], "date_start")
+    rows = S.insights(spark, folder)
+    W.sink_upsert(path, rows.filter("date_start <= '2024-01-20'"), "id", ["ad_name"], "date_start")
     late = rows.filter("date_start >= '2024-01-11'")
-    batch = late.withColumn("spend", F.col("spend") + 1).unionByName(
-        late.withColumn("spend", F.col("spend") + 2)
-    )
+
+    def named(n: int) -> DataFrame:
+        return late.withColumn("ad_name", F.concat("ad_name", F.lit(f", {n}")))
+
     for _ in range(2):
-        W.sink_upsert(path, batch, "id", ["spend"], "date_start")
+        W.sink_upsert(path, named(2).unionByName(named(1)), "id", ["ad_name"], "date_start")
     return spark.read.schema(rows.schema).parquet(path)
 
 
-@query("SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_acctbal < 0")
+@query(expect("SELECT * FROM insight_rows"))
+def ads_load(spark: SparkSession, folder: str) -> DataFrame:
+    """Landed insights, loaded day windows that overlap, with lookups that repeat their keys."""
+    path = fresh_path(spark, "ads-load")
+
+    def repeated(df: DataFrame) -> DataFrame:
+        """More entries of the same keys, without values, so that they come first."""
+        empty = [F.lit(None).cast("string").alias(c) for c in df.columns if c != "id"]
+        return df.unionByName(df.select("id", *empty))
+
+    ads = repeated(S.ad_statuses(spark, folder))
+    raw = S.insights_raw(spark, folder)
+    budgets = S.adset_budgets(spark, folder), S.campaign_budgets(spark, folder)
+    for today, days in ((dt.date(2024, 1, 20), 400), (dt.date(2024, 2, 1), 20), (dt.date(2024, 12, 31), 360)):
+        plans.ads_load(raw, ads, *budgets, path, today, days)
+    return spark.read.schema(S.insights(spark, folder).schema).parquet(path)
+
+
+@query(f"""
+  SELECT {", ".join(f'CAST("{c}" AS VARCHAR) AS "{c}"' for c in SHOP_ORDER_COLUMNS)}
+  FROM (SELECT {SHOP_SELECT}, CAST(o_orderdate AS DATE) AS "the day"
+        FROM orders JOIN customer ON o_custkey = c_custkey)
+  WHERE "the day" < DATE '1997-06-01' OR "the day" >= DATE '1997-12-22'""")
+def orders_load(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders to May 1997, then twice those created since thirty days before the time given."""
+    path = fresh_path(spark, "orders-load")
+    orders = S.shop_orders(spark, folder).filter(F.col("user_id").isNotNull())
+    W.sink_append(stringify_all(order_rows(orders.filter("created_at < '1997-06-01'"))), path)
+    for _ in range(2):
+        plans.orders_load(orders.unionByName(orders), path, "1998-01-20T09:30:00Z", 30)
+    return spark.read.parquet(path)
+
+
+@query("SELECT c_custkey, c_name, c_acctbal FROM customer")
 def sink_empty_like(spark: SparkSession, folder: str) -> DataFrame:
     path, customers = fresh_path(spark, "empty"), _customers(spark, folder)
     W.sink_empty_like(customers, path)
-    W.sink_append(customers.filter("c_acctbal < 0"), path)
+    W.sink_append(customers, path)
     return spark.read.parquet(path)
 
 
@@ -160,7 +196,7 @@ def gap_repair(spark: SparkSession, folder: str) -> DataFrame:
     loaded = orders.join(fetched, "id", "left_semi")
     starts = orders.groupBy(F.floor(F.col("id") / 500).alias("block")).agg(F.min("id").alias("id"))
     cursors = starts.select("id").unionByName(orders.agg((F.max("id") + 1).alias("id")))
-    return loads.gap_repair(loaded, orders, cursors)
+    return loads.gap_repair(loaded, orders.unionByName(orders), cursors)
 
 
 @query("""

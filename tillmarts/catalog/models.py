@@ -232,6 +232,20 @@ def ad_insight_rows(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+_INTEGER_BUDGETS = ", ".join(f"CAST({c} AS BIGINT) AS {c}" for c in ads.CAMPAIGN_BUDGETS)
+
+
+@query(expect(f"SELECT * REPLACE ({_INTEGER_BUDGETS}) FROM insight_rows"))
+def ad_insight_rows_integer_budgets(spark: SparkSession, folder: str) -> DataFrame:
+    return ads.ad_insight_rows(
+        S.insights_raw(spark, folder),
+        S.ad_statuses(spark, folder),
+        S.adset_budgets(spark, folder),
+        S.campaign_budgets(spark, folder),
+        integer_budgets=True,
+    )
+
+
 @query(expect("SELECT * FROM creative_rows"))
 def creative_dim(spark: SparkSession, folder: str) -> DataFrame:
     return S.creatives(spark, folder)
@@ -279,12 +293,12 @@ _SHOP_VALUES = {
     "shipping_address": "'{}'",
     "line_items": """'[{"id":' || o_orderkey || ',"title":"' || o_orderpriority || '"}]'""",
 }
-_SHOP_SELECT = ", ".join(
+SHOP_SELECT = ", ".join(
     f"{_SHOP_VALUES.get(c, 'CAST(NULL AS VARCHAR)')} AS {c}" for c in SHOP_ORDER_COLUMNS
 )
 
 
-@query(f"SELECT {_SHOP_SELECT} FROM orders JOIN customer ON o_custkey = c_custkey")
+@query(f"SELECT {SHOP_SELECT} FROM orders JOIN customer ON o_custkey = c_custkey")
 def order_rows(spark: SparkSession, folder: str) -> DataFrame:
     return shop.order_rows(S.shop_orders(spark, folder))
 

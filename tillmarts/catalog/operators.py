@@ -17,6 +17,7 @@ from tillmarts.functions import jsons as J
 from tillmarts.functions import labels as B
 from tillmarts.functions import lookups as L
 from tillmarts.functions.dates import epoch_to_date
+from tillmarts.functions.numbers import money_sum
 from tillmarts.operators import aggregates as G
 from tillmarts.operators import filters, joins, sets, windows
 from tillmarts.plans import ads, stock
@@ -27,6 +28,7 @@ from tillmarts.sources.readers import (
     scan_rename as rename,
     scan_table as scan,
     series_between,
+    split_json_pages as split_pages,
 )
 from tillmarts.storage import fresh_path
 
@@ -63,6 +65,20 @@ def read_seed_csv(spark: SparkSession, folder: str) -> DataFrame:
     return read_seed(spark, path)
 
 
+@query("SELECT c_custkey AS id, c_custkey % 10 = 0 AS rejected FROM customer")
+def split_json_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers landed as pages of one item, every tenth of them cut off."""
+    path = fresh_path(spark, "broken-pages")
+    page = F.to_json(F.struct(F.array(F.struct(F.col("c_custkey").alias("id"))).alias("items")))
+    cut = F.when(F.col("c_custkey") % 10 == 0, F.regexp_replace(page, r"\]\}$", "")).otherwise(page)
+    scan(spark, folder, "customer").select(cut.alias("value")).write.text(path)
+    good, bad = split_pages(spark, path, T.StructType.fromDDL("id bigint"))
+    broken = F.regexp_extract("record", r'"id":(\d+)', 1).cast("bigint")
+    return good.withColumn("rejected", F.lit(False)).unionByName(
+        bad.select(broken.alias("id"), F.lit(True).alias("rejected"))
+    )
+
+
 @query("""
   SELECT o_orderkey AS id, o_custkey AS client, o_orderstatus AS state, o_totalprice AS total
   FROM orders""")
@@ -140,6 +156,25 @@ def filter_recent(spark: SparkSession, folder: str) -> DataFrame:
     return filters.filter_recent(events, "day", "2024-01-30")
 
 
+@query("""
+  SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day FROM orders
+  WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1995-02-01' AND DATE '1996-03-15'""")
+def filter_between_dates(spark: SparkSession, folder: str) -> DataFrame:
+    orders = scan(spark, folder, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("day"))
+    return filters.filter_between_dates(orders, "day", "1995-02-01", "1996-03-15")
+
+
+@query("""
+  SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') || '-03:00' AS created_at FROM orders
+  WHERE o_orderdate + INTERVAL 3 HOUR >= TIMESTAMP '1998-01-01 12:00:00' - INTERVAL 90 DAY""")
+def filter_since(spark: SparkSession, folder: str) -> DataFrame:
+    """Times as text three hours behind UTC, some of them no times at all."""
+    text = F.concat(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("-03:00"))
+    orders = scan(spark, folder, "orders").select("o_orderkey", text.alias("created_at"))
+    junk = orders.withColumn("created_at", F.lit("not yet"))
+    return filters.filter_since(orders.unionByName(junk), "created_at", "1998-01-01T12:00:00Z", 90)
+
+
 _NOW, _DAYS_BACK = "1998-03-20 09:30:00", 30
 _LOCAL_NOW = dt.datetime.fromisoformat(_NOW)
 
@@ -278,7 +313,7 @@ def left_join_multi_key(spark: SparkSession, folder: str) -> DataFrame:
 
 def _daily_moves(frame: DataFrame, day: str, name: str) -> DataFrame:
     return frame.groupBy(F.col(day).alias("fecha"), "variant_id", "office_id").agg(
-        F.sum(F.col("quantity").cast("decimal(18,2)")).cast("double").alias(name)
+        money_sum(F.col("quantity")).alias(name)
     )
 
 
@@ -337,13 +372,13 @@ def left_join_fanout(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     expect(f"""
       SELECT d AS fecha, variant_id, office_id
-      FROM {between_days("DATE '1997-01-01'", "DATE '1997-01-31'")},
+      FROM {between_days("DATE '1997-01-01'", "DATE '1997-12-31'")},
         (SELECT DISTINCT variant_id, office_id FROM stock_rows)""")
 )
 def cross_join_grid(spark: SparkSession, folder: str) -> DataFrame:
-    """Every stocked variant and branch on every day of a month."""
+    """Every stocked variant and branch on every day of a year."""
     pairs = S.stock(spark, folder).select("variant_id", "office_id").distinct()
-    days = [F.lit(d).cast("date") for d in ("1997-01-01", "1997-01-31")]
+    days = [F.lit(d).cast("date") for d in ("1997-01-01", "1997-12-31")]
     return joins.date_grid(pairs, *days)
 
 
@@ -458,7 +493,7 @@ def group_by_all(spark: SparkSession, folder: str) -> DataFrame:
         scan(spark, folder, "lineitem"),
         ["l_returnflag", "l_linestatus", F.to_date("l_shipdate").alias("day")],
         [
-            F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("double").alias("units"),
+            money_sum(F.col("l_quantity")).alias("units"),
             F.max("l_extendedprice").alias("top"),
             F.count(F.lit(1)).alias("n"),
         ],

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fits 10^14 with four decimals; sums of it stay exact.
-MONEY = "decimal(18,4)"
+# What a double of up to 28 digits before and ten after the point holds; sums of it stay exact.
+MONEY = "decimal(38,10)"
 
 
 def safe_cast(col: Column, to: str) -> Column:

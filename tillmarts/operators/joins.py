@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from tillmarts.functions.labels import colour
 from tillmarts.functions.lookups import COLOUR_OTHER, UNKNOWN
 from tillmarts.functions.texts import left_prefix
+from tillmarts.operators.aggregates import distinct_by_key
+from tillmarts.storage import materialize
 
 
 def left_join(fact: DataFrame, dim: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -58,16 +60,12 @@ def anti_join_existing(
     to the keys of the batch first lets the small side be the build side, so the target's ids are
     only scanned; the anti join then sees a few matched keys.
     """
-    def keyed(df: DataFrame) -> Column:
-        return F.col(key).cast("string") if as_text else F.col(key)
-
-    wanted = batch.select(keyed(batch).alias("_key")).distinct()
-    found = existing.select(keyed(existing).alias("_key")).join(wanted, "_key", "left_semi")
-    return (
-        batch.withColumn("_key", keyed(batch))
-        .join(found.distinct(), "_key", "left_anti")
-        .drop("_key")
-    )
+    keyed = F.col(key).cast("string") if as_text else F.col(key)
+    # Written, so that the join with the target is planned on its size: as long as it is small,
+    # nothing of the target is shuffled.
+    wanted = materialize(batch.select(keyed.alias("_key")).distinct(), "batch-keys")
+    found = existing.select(keyed.alias("_key")).join(wanted, "_key", "left_semi")
+    return batch.withColumn("_key", keyed).join(found, "_key", "left_anti").drop("_key")
 
 
 def lookup_default(
@@ -77,14 +75,20 @@ def lookup_default(
     lookup_key: str,
     columns: dict[str, str],
     default: object = None,
+    order_by: Sequence[str] = (),
 ) -> DataFrame:
     """Dictionary lookup: ``columns`` maps lookup columns to output names.
 
-    A key that is absent, and one that is present with no value, both give ``default``.
+    A key that is absent, and one that is present with no value, both give ``default``. Of a
+    repeated lookup key the entry that comes last by ``order_by``, then by its values, counts.
     """
     picked = lookup.select(
-        F.col(lookup_key).alias("_key"), *[F.col(c).alias(name) for c, name in columns.items()]
+        F.col(lookup_key).alias("_key"),
+        *[F.col(c).alias(f"_order_{i}") for i, c in enumerate(order_by)],
+        *[F.col(c).alias(name) for c, name in columns.items()],
     )
+    order = [f"_order_{i}" for i in range(len(order_by))]
+    picked = distinct_by_key(picked, ["_key"], order, last=True).drop(*order)
     out = df.withColumn("_key", F.col(key)).join(picked, "_key", "left").drop("_key")
     if default is None:
         return out
@@ -114,9 +118,16 @@ def unnest(df: DataFrame, items: Column, name: str) -> DataFrame:
 
 
 def coalesce_update(
-    left: DataFrame, right: DataFrame, key: str, columns: Sequence[str]
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    columns: Sequence[str],
+    order_by: Sequence[str] = (),
 ) -> DataFrame:
-    """``columns`` taken from ``right`` wherever it has the key, even if the value is NULL there."""
+    """``columns`` taken from ``right`` wherever it has the key, even if the value is NULL there. Of
+    a key repeated in ``right`` the row that comes last by ``order_by``, then by its values, counts."""
+    kept = [key, *order_by, *[c for c in columns if c not in order_by]]
+    right = distinct_by_key(right.select(*kept), [key], order_by, last=True)
     have = [c for c in columns if c in left.columns]
     picked = right.select(
         key, F.lit(True).alias("_hit"), *[F.col(c).alias(f"_new_{c}") for c in columns]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillmarts.storage import materialize
@@ -48,6 +48,11 @@ def interval_pairs(
     return paired.select(F.col(col).alias(first), (F.col("_next") - 1).alias(last))
 
 
+def cut_interval(df: DataFrame, first: Column, last: Column, width: int, name: str) -> DataFrame:
+    """Each row once per ``width`` steps from ``first`` to ``last``, with the step's start."""
+    return df.withColumn(name, F.explode(F.sequence(first, last, F.lit(width).cast("bigint"))))
+
+
 def missing_ids(
     intervals: DataFrame,
     fetched: DataFrame,
@@ -58,16 +63,17 @@ def missing_ids(
 ) -> DataFrame:
     """Ids inside the intervals that were not fetched.
 
-    Intervals are first cut into runs of ``run`` ids and the runs spread over the tasks, so a single
-    wide interval neither becomes one long array nor one long task.
+    Intervals are cut into spans of ``run`` * ``run`` ids, these into runs of ``run`` ids and these into ids,
+    each spread over the tasks, so a single wide interval neither becomes one long array nor one
+    long task.
     """
     start, stop = F.col("_start"), F.least(F.col("_start") + run - 1, F.col(last))
     # A fixed number of partitions: the runs are few bytes but many ids, so they must not be
     # coalesced by their size.
     tasks = int(intervals.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    runs = intervals.select(
-        first, last, F.explode(F.sequence(F.col(first), F.col(last), F.lit(run))).alias("_start")
-    ).repartition(tasks, "_start")
+    spans = cut_interval(intervals, F.col(first), F.col(last), run * run, "_span").repartition(tasks, "_span")
+    until = F.least(F.col("_span") + run * run - 1, F.col(last))
+    runs = cut_interval(spans, F.col("_span"), until, run, "_start").repartition(tasks, "_start")
     expected = runs.select(first, last, F.explode(F.sequence(start, stop)).alias(col))
     return expected.join(fetched.select(col).distinct(), col, "left_anti").select(first, last, col)
 

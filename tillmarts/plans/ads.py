@@ -195,6 +195,7 @@ def ads_platform_calendar(insights: DataFrame, calendar: DataFrame) -> DataFrame
     return left_join_date_dim(staged, calendar, "campaign_date")
 
 
+# Fields of a creative.
 CREATIVE_FIELDS = [
     "name", "body", "title", "image_url", "thumbnail_url", "video_id", "object_story_id", "status",
     "call_to_action_type", "object_type", "template_url",
@@ -233,6 +234,8 @@ def post_content(creatives: DataFrame, posts: DataFrame) -> DataFrame:
         A.any_video(F.col("attachments.data")).alias("_is_video"),
         A.last_video_id(F.col("attachments.data")).alias("_video"),
     )
+    # A post that landed twice counts once, by its latest time.
+    shaped = distinct_by_key(shaped, ["_post"], ["_created"], last=True)
     story = F.coalesce("object_story_id", "effective_object_story_id")
     joined = creatives.withColumn("_story", story).join(
         shaped, F.col("_story") == F.col("_post"), "left"

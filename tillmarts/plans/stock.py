@@ -55,8 +55,13 @@ def stock_mart(stock: DataFrame, groups: DataFrame) -> DataFrame:
         "variant_id", "variant_code", "variant_description", F.col("office_name").alias("sucursal")
     ).agg(money_sum(F.col("quantity")).alias("stock_actual"))
     levels = left_join_prefix(levels, groups, "variant_code", "variante_code_desc")
-    levels = levels.withColumn("orden_tallas", B.size_order_text(F.col("variant_description")))
-    return attach_colour(levels, "variant_code")
+    # One row per variant and branch already, so the colour rules run on these rows.
+    return levels.withColumns(
+        {
+            "orden_tallas": B.size_order_text(F.col("variant_description")),
+            "color": B.colour(F.col("variant_code")),
+        }
+    )
 
 
 def stock_vs_sales(

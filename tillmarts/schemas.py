@@ -85,7 +85,7 @@ RECEPTION = T.StructType(
     + [T.StructField("office", OFFICE_REF), T.StructField("details", MOVEMENT_DETAILS)]
 )
 
-# Columns of one stored ad insight, in order; the upsert writes exactly these.
+# Columns of one stored ad insight, in order; the upsert writes exactly these.
 INSIGHT_COLUMNS = [
     "id", "ad_id", "ad_name", "adset_id", "adset_name", "campaign_id", "campaign_name",
     "impressions", "clicks", "ctr", "spend", "date_start", "date_stop", "actions",
@@ -94,7 +94,7 @@ INSIGHT_COLUMNS = [
     "daily_budget_campaign", "lifetime_budget_campaign", "budget_remaining_campaign",
 ]
 
-# Columns of one stored web-shop order, in order, with the empty JSON value of nested ones.
+# Columns of one stored web-shop order, in order, with the empty JSON value of nested ones.
 SHOP_ORDER_COLUMNS = [
     "id", "admin_graphql_api_id", "app_id", "browser_ip", "cancel_reason", "cancelled_at",
     "cart_token", "checkout_id", "closed_at", "created_at", "currency", "current_total_price",
@@ -115,7 +115,7 @@ SHOP_ORDER_NESTED = {
     "line_items": "[]",
 }
 
-# Columns of one stored sales document and of one stored stock row, in the same way.
+# Columns of one stored sales document and of one stored stock row, in the same way.
 DOCUMENT_COLUMNS = [
     "id", "emissionDate", "expirationDate", "generationDate", "number", "totalAmount", "netAmount",
     "taxAmount", "state", "document_type", "client", "office", "user", "references",

@@ -9,13 +9,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillmarts.functions import lookups as L
 from tillmarts.schemas import COLOUR_SEED
-from tillmarts.storage import read_parquet
+
+# The column for the text of a malformed record.
+_BROKEN = "_broken"
 
 
 def scan_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return read_parquet(spark, f"{folder}/{name}.parquet")
+    return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 def scan_rename(df: DataFrame, names: Mapping[str, str], **casts: str) -> DataFrame:
@@ -36,24 +37,13 @@ def read_seed_csv(spark: SparkSession, path: str, schema: T.StructType = COLOUR_
     )
 
 
-def colour_seed(spark: SparkSession) -> DataFrame:
-    """The colour-by-SKU seed: product group, colour code and size suffix run together.
-
-    Group 2249 lists Sandia twice and group 2260 adds Lila, as the original list does.
-    """
-    # The colours of each group and the size suffixes.
-    shared = [
-        "AREN", "AZUL", "AZMA", "BLAN", "CALI", "CELE", "DAMA", "ROYA", "SAND", "TURQ", "CAQU",
-        "INDG", "CEMA", "CORA", "CRUD", "CAPA", "AQUA", "GRPI", "BEIG", "VERD", "ROSA",
-    ]
-    groups = {"2249": shared + ["SAND"], "2260": shared + ["LILA"]}
-    suffixes = ["00S", "00M", "00L", "0XL", "XXL", "3XL", "4XL"]
-    names = dict(L.COLOUR_RULES)
-    rows = [(names[c], f"{g}{c}") for g, codes in groups.items() for c in codes]
-    skus = F.array([F.concat("stem", F.lit(s)) for s in suffixes])
-    return spark.createDataFrame(rows, "color string, stem string").select(
-        "color", F.explode(skus).alias("sku")
-    )
+def _pages(
+    spark: SparkSession, path: str, item: T.DataType, field: str, multi_line: bool, mode: str
+) -> DataFrame:
+    """Landed pages as rows of the list in ``field`` and the record's text where it is malformed."""
+    page = T.StructType([T.StructField(field, T.ArrayType(item)), T.StructField(_BROKEN, T.StringType())])
+    options = {"multiLine": multi_line, "mode": mode, "columnNameOfCorruptRecord": _BROKEN}
+    return spark.read.schema(page).options(**options).json(path)
 
 
 def read_json_pages(
@@ -63,12 +53,27 @@ def read_json_pages(
     field: str = "items",
     multi_line: bool = False,
 ) -> DataFrame:
-    """Landed API pages ``{field: [..]}`` flattened to one row per item."""
-    page = T.StructType([T.StructField(field, T.ArrayType(item))])
-    pages = spark.read.schema(page).option("multiLine", multi_line).json(path)
+    """Landed API pages ``{field: [..]}`` flattened to one row per item. A malformed page is an
+    error; ``split_json_pages`` sets such pages apart instead."""
+    pages = _pages(spark, path, item, field, multi_line, "FAILFAST")
     return pages.select(F.explode(field).alias("item")).select("item.*")
 
 
+def split_json_pages(
+    spark: SparkSession,
+    path: str,
+    item: T.DataType,
+    field: str = "items",
+    multi_line: bool = False,
+) -> tuple[DataFrame, DataFrame]:
+    """The items of well-formed pages, and the text of the malformed ones in ``record``."""
+    pages = _pages(spark, path, item, field, multi_line, "PERMISSIVE")
+    # The list stands in both conditions because Spark does not read the text column alone.
+    good = pages.filter(F.col(_BROKEN).isNull()).select(F.explode(field).alias("item")).select("item.*")
+    bad = pages.filter(F.col(_BROKEN).isNotNull() & (F.col(field).isNull() | F.col(field).isNotNull()))
+    return good, bad.select(F.col(_BROKEN).alias("record"), field).drop(field)
+
+
 def date_series(
     spark: SparkSession,
     start: dt.date | str,

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillmarts.operators.aggregates import distinct_by_key
 from tillmarts.storage import materialize
@@ -58,33 +59,31 @@ def sink_model(
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """Whether ``path`` holds a table. Failures other than its absence are raised."""
+    """Whether there is anything at ``path``. Only a path that is not there counts as absent; a
+    folder that holds no readable table is an error, as is any other failure."""
     try:
         spark.read.parquet(path).schema
     except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        if error.getCondition() == "PATH_NOT_FOUND":
             return False
         raise
     return True
 
 
-# More partition values than this are not listed in a filter.
-LISTED_PARTITIONS = 1_000
+# The folder column of tables that no column of their own divides.
+BUCKET = "_bucket"
 
 
-def touched_partitions(base: DataFrame, batch: DataFrame, column: str) -> DataFrame:
-    """The rows of ``base`` in the partitions that occur in ``batch``, the NULL one included.
+def touched_partitions(base: DataFrame, values: DataFrame, column: str) -> DataFrame:
+    """The rows of ``base`` in the partitions listed in ``values``, and those of the NULL partition.
 
-    The values are listed in a filter, which prunes the scan; where there are too many to list,
-    they are joined.
+    ``values`` is a written table, so at planning time its size is known: as long as it may be
+    broadcast it prunes the scan's partitions, and above that it is joined.
     """
-    values = batch.select(column).distinct()
-    listed = [row[0] for row in values.limit(LISTED_PARTITIONS + 1).collect()]
-    if len(listed) > LISTED_PARTITIONS:
-        keyed = values.withColumnRenamed(column, "_touched")
-        return base.join(keyed, F.col(column).eqNullSafe(F.col("_touched")), "left_semi")
-    known = F.col(column).isin([v for v in listed if v is not None])
-    return base.filter(known | F.col(column).isNull() if None in listed else known)
+    # True for every value but NULL; Spark prunes by values only if a comparison selects them.
+    known = values.filter(F.length(F.col(column).cast("string")) >= 0)
+    named = base.join(known, column, "left_semi")
+    return named.unionByName(base.filter(F.col(column).isNull()))
 
 
 def upsert(base: DataFrame, staging: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame:
@@ -99,35 +98,54 @@ def upsert(base: DataFrame, staging: DataFrame, key: str, order_by: Sequence[str
     return kept.unionByName(source).unionByName(unkeyed)
 
 
+def _refuse_moved_keys(base: DataFrame, staging: DataFrame, key: str, column: str) -> None:
+    """An error if a key is stored in another partition than the one the batch has for it."""
+    keys = staging.filter(F.col(key).isNotNull()).select(key, F.col(column).alias("_to")).distinct()
+    stored = base.select(key, F.col(column).alias("_from")).join(keys, key)
+    moved = stored.filter(~F.col("_from").eqNullSafe(F.col("_to"))).select(key).limit(5)
+    split = keys.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(key).limit(5)
+    found = [row[0] for row in moved.unionByName(split).take(5)]
+    if found:
+        raise ValueError(f"{key} {found} would stand in two partitions of {column}")
+
+
 def sink_upsert(
     path: str,
     staging: DataFrame,
     key: str,
     order_by: Sequence[str],
     partition_by: str | None = None,
+    buckets: int = 1,
 ) -> None:
     """Upsert into the table at ``path``, creating it with the columns of ``staging`` if absent.
 
-    With ``partition_by`` (a column fixed by the key, such as the day in ``ad_day`` keys) only the
-    partitions present in ``staging`` are read and replaced; without it the table is rewritten.
-    The merged rows are written elsewhere first and then put in place, so no path is read and
-    overwritten at once and a failed run can simply be repeated.
+    ``partition_by`` is a column fixed by the key, such as the day in ``ad_day`` keys; empty text
+    in it is stored as NULL. A key that is stored with another value is refused before anything
+    is written. Without it the table is divided into ``buckets`` folders by the key's hash, and
+    ``read_upserted`` hides that column. Only folders that the batch touches (and the NULL one) are
+    read and replaced. The merged rows are written once, beside the stored ones, which Spark
+    swaps when all tasks have ended; until then a failure leaves the table as it was.
     """
     spark = staging.sparkSession
+    folder = partition_by or BUCKET
+    if partition_by is None:
+        staging = staging.withColumn(BUCKET, F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
+    elif staging.schema[partition_by].dataType == T.StringType():
+        staging = staging.withColumn(folder, F.nullif(F.col(folder), F.lit("")))
     staging = materialize(staging, "upsert-staging")
-    if not table_exists(spark, path):
+    if table_exists(spark, path):
+        base = spark.read.schema(staging.schema).parquet(path)
         if partition_by:
-            fresh = upsert(staging.limit(0), staging, key, order_by)
-            sink_overwrite(fresh, path, [partition_by])
-            return
-        sink_empty_like(staging, path)
-    base = spark.read.schema(staging.schema).parquet(path)
-    if partition_by:
-        base = touched_partitions(base, staging, partition_by)
-    merged = materialize(upsert(base, staging, key, order_by).select(*staging.columns), "upsert")
-    if partition_by:
-        _gathered(merged, [partition_by]).write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic"
-        ).partitionBy(partition_by).parquet(path)
+            _refuse_moved_keys(base, staging, key, folder)
+        base = touched_partitions(base, materialize(staging.select(folder).distinct(), "touched"), folder)
     else:
-        sink_overwrite(merged, path)
+        base = staging.limit(0)
+    merged = upsert(base, staging, key, order_by).select(*staging.columns)
+    _gathered(merged, [folder]).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).partitionBy(folder).parquet(path)
+
+
+def read_upserted(spark: SparkSession, path: str) -> DataFrame:
+    """The table at ``path`` without the folder column that ``sink_upsert`` may have added."""
+    return spark.read.parquet(path).drop(BUCKET)

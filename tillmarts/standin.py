@@ -18,8 +18,7 @@ from tillmarts.functions.numbers import money_sum
 from tillmarts.plans import ads as ads_plan
 from tillmarts.plans import sales, stock as stock_plan
 from tillmarts.plans.calendar import calendar_of
-from tillmarts.sources.readers import scan_table
-from tillmarts.storage import materialize, staged
+from tillmarts.storage import read_parquet, materialize, staged
 
 # First word of a part name -> colour code. "large" matches two rules, "new" none.
 WORD_CODES = {
@@ -78,12 +77,17 @@ ACTION_SOURCES = {
 ATTACHMENTS = "array<struct<type:string,target:struct<id:string>>>"
 
 
+def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A test table; these never change, so their schemas are looked up once."""
+    return read_parquet(spark, f"{folder}/{name}.parquet")
+
+
 def _pick(index: Column, values: list[str]) -> Column:
     return B.case_lookup(index, dict(enumerate(values)))
 
 
 def variants(spark: SparkSession, folder: str) -> DataFrame:
-    part = scan_table(spark, folder, "part")
+    part = _table(spark, folder, "part")
     group = (F.substring("p_brand", 7, 9).cast("bigint") + 2000).cast("string")
     word = F.substring_index("p_name", " ", 1)
     size = F.col("p_size") % 8
@@ -122,7 +126,7 @@ def product_master(spark: SparkSession, folder: str) -> DataFrame:
 
 def product_groups_raw(spark: SparkSession, folder: str) -> DataFrame:
     """One row per brand but the last, under machine-made column names."""
-    brands = scan_table(spark, folder, "part").select("p_brand").distinct()
+    brands = _table(spark, folder, "part").select("p_brand").distinct()
     number = F.substring("p_brand", 7, 9).cast("bigint")
     return brands.filter(F.col("p_brand") != "Brand#25").select(
         (number + 2000).alias("int64_field_0"),
@@ -165,7 +169,7 @@ def _id_object(value: Column) -> Column:
 
 def document_headers(spark: SparkSession, folder: str) -> DataFrame:
     """Documents without their lines."""
-    orders = scan_table(spark, folder, "orders")
+    orders = _table(spark, folder, "orders")
     emitted = D.timestamp_to_epoch(F.col("o_orderdate"))
     key = F.col("o_orderkey")
 
@@ -210,7 +214,7 @@ def detail_pages(spark: SparkSession, folder: str) -> DataFrame:
     A page holds the lines of a document that lie in one run of ``PAGE_RUN`` input rows, so even a
     document with a third of all lines is packed into bounded arrays, by many tasks.
     """
-    items = scan_table(spark, folder, "lineitem").withColumn(
+    items = _table(spark, folder, "lineitem").withColumn(
         "page", F.floor(F.monotonically_increasing_id() / PAGE_RUN)
     )
     # The flat columns are shuffled; the nested ones are built where they are packed.
@@ -251,7 +255,7 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
         # The pages are the preserved side, the one a skewed join can split; documents without
         # lines are added from an anti join.
         with_lines = pages.join(headers, "id").select(*headers.columns, "items")
-        ids = scan_table(spark, folder, "lineitem").select(F.col("l_orderkey").alias("id"))
+        ids = _table(spark, folder, "lineitem").select(F.col("l_orderkey").alias("id"))
         without = headers.join(ids.distinct(), "id", "left_anti")
         joined = with_lines.unionByName(without, allowMissingColumns=True)
         details = (
@@ -277,7 +281,7 @@ def document_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 def sales_calendar(spark: SparkSession, folder: str) -> DataFrame:
     """Calendar over the years 1996 to 2000 of the orders: earlier and later days have none."""
-    bounds = scan_table(spark, folder, "orders").agg(
+    bounds = _table(spark, folder, "orders").agg(
         F.min(F.to_date("o_orderdate")).alias("first"), F.max(F.to_date("o_orderdate")).alias("last")
     )
     first = F.trunc(F.add_months("first", 12), "year")
@@ -288,7 +292,7 @@ def sales_calendar(spark: SparkSession, folder: str) -> DataFrame:
 
 def stock_raw(spark: SparkSession, folder: str) -> DataFrame:
     """Stock lots by part and supplier, variant and branch as JSON."""
-    items = scan_table(spark, folder, "lineitem")
+    items = _table(spark, folder, "lineitem")
     lots = items.groupBy("l_partkey", "l_suppkey").agg(
         money_sum(F.col("l_quantity")).alias("quantity"),
         money_sum(F.when(F.col("l_returnflag") == "R", F.col("l_quantity")).otherwise(0.0)).alias(
@@ -331,7 +335,7 @@ def stock(spark: SparkSession, folder: str) -> DataFrame:
 
 def _movement_headers(spark: SparkSession, folder: str, flag: str) -> DataFrame:
     """Each line with the flag as a movement of two detail lines: all units but one, and one."""
-    items = scan_table(spark, folder, "lineitem").filter(F.col("l_returnflag") == flag)
+    items = _table(spark, folder, "lineitem").filter(F.col("l_returnflag") == flag)
     v = variants(spark, folder).select("variant_id", "office_id")
     joined = items.join(v, F.col("l_partkey") == F.col("variant_id"))
     cost = F.col("l_extendedprice") / F.col("l_quantity")
@@ -382,7 +386,7 @@ def insights_raw(spark: SparkSession, folder: str) -> DataFrame:
 
     Each array is made of a fixed list of counts, so the events are only aggregated, never listed.
     """
-    events = scan_table(spark, folder, "events")
+    events = _table(spark, folder, "events")
     parity = F.get_json_object("props", "$.k").cast("bigint") % 2
     kind, value = F.col("event_type"), F.col("value")
     source = {n: (kind == e) & (parity == p) for n, (e, p) in ACTION_SOURCES.items()}
@@ -438,7 +442,7 @@ def insights_raw(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _users(spark: SparkSession, folder: str) -> DataFrame:
-    return scan_table(spark, folder, "events").groupBy("user_id").agg(
+    return _table(spark, folder, "events").groupBy("user_id").agg(
         F.max("value").alias("top"), F.count(F.when(F.col("event_type") == "view", 1)).alias("views")
     )
 
@@ -456,7 +460,7 @@ def ad_statuses(spark: SparkSession, folder: str) -> DataFrame:
 def _budgets(spark: SparkSession, folder: str, size: int, hidden: str) -> DataFrame:
     """Budgets of ad sets or campaigns: none, 1 or a real amount; one member is not listed."""
     number = F.col("user_id") % size
-    groups = scan_table(spark, folder, "events").select(number.alias("n")).distinct()
+    groups = _table(spark, folder, "events").select(number.alias("n")).distinct()
     n = F.col("n")
     daily = F.when(n % 4 == 1, F.lit("1")).when(n % 4 > 1, (n * 100).cast("string"))
     return groups.filter(n.cast("string") != hidden).select(
@@ -502,7 +506,7 @@ def ad_links(spark: SparkSession, folder: str) -> DataFrame:
 def creative_details(spark: SparkSession, folder: str) -> DataFrame:
     number = F.col("user_id") % 40
     groups = (
-        scan_table(spark, folder, "events")
+        _table(spark, folder, "events")
         .groupBy(number.alias("n"))
         .agg(F.count(F.when(F.col("event_type") == "view", 1)).alias("views"))
     )
@@ -578,7 +582,7 @@ def posts(spark: SparkSession, folder: str) -> DataFrame:
 
 def platform_insights(spark: SparkSession, folder: str) -> DataFrame:
     """Insights by ad, day, platform (event type) and device (parity of ``k``)."""
-    events = scan_table(spark, folder, "events")
+    events = _table(spark, folder, "events")
     parity = F.get_json_object("props", "$.k").cast("bigint") % 2
     device = F.when(parity == 0, "mobile").otherwise("desktop")
     groups = events.groupBy(
@@ -622,7 +626,7 @@ def platform_insights(spark: SparkSession, folder: str) -> DataFrame:
 
 def ads_calendar(spark: SparkSession, folder: str) -> DataFrame:
     """Calendar from the first event to the day before the last."""
-    bounds = scan_table(spark, folder, "events").agg(
+    bounds = _table(spark, folder, "events").agg(
         F.min(F.to_date("ts")).alias("first"), F.max(F.to_date("ts")).alias("last")
     )
     days = bounds.select(F.explode(F.sequence(F.col("first"), F.date_sub("last", 1))).alias("fecha"))
@@ -665,8 +669,8 @@ def core(spark: SparkSession, folder: str) -> DataFrame:
 
 def shop_orders(spark: SparkSession, folder: str) -> DataFrame:
     """Web-shop orders with nested customer, address and lines."""
-    orders = scan_table(spark, folder, "orders")
-    customers = scan_table(spark, folder, "customer")
+    orders = _table(spark, folder, "orders")
+    customers = _table(spark, folder, "customer")
     joined = orders.join(customers, F.col("o_custkey") == F.col("c_custkey"), "left")
     day = F.date_format("o_orderdate", "yyyy-MM-dd")
     price = F.col("o_totalprice").cast("decimal(18,2)").cast("string")

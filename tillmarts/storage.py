@@ -7,6 +7,7 @@ against ``spark.sql.autoBroadcastJoinThreshold`` instead of by a hint.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -20,11 +21,17 @@ _schemas: dict[tuple[str, str], T.StructType] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one only where it is unset."""
+    """The folder named by ``spark.checkpoint.dir``.
+
+    Where it is unset, a session within one process gets a temporary folder of its own; on a
+    cluster, whose executors would not find what others wrote there, that is an error.
+    """
     context = spark.sparkContext
     named = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if named:
         return named.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", context.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     app = context.applicationId
     if app not in _own_folder:
         _own_folder[app] = tempfile.mkdtemp(prefix="tillmarts-")
@@ -63,7 +70,10 @@ def staged(
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    """A parquet table whose schema is looked up once per application, not on every read."""
+    """A parquet table whose schema is looked up once per application, not on every read.
+
+    For tables that do not change while the application runs, such as the test tables.
+    """
     key = (spark.sparkContext.applicationId, path)
     if key not in _schemas:
         _schemas[key] = spark.read.parquet(path).schema

@@ -115,9 +115,10 @@ def test_longer_prefixes_meet():
     for percent in (60, 80, 85, 95):
         for n in range(1, 400):
             smallest = -(-n * percent // 100)
-            least = J.longer_prefix(smallest, percent) - J.own_tokens(smallest, percent)
-            for m in range(smallest, n + 1):
-                assert J.longer_prefix(m, percent) - J.own_tokens(m, percent) >= least >= 1
+            for tenths in (J.LONGER, J.LONGEST):
+                least = J.longer_prefix(smallest, percent, tenths) - J.own_tokens(smallest, percent)
+                for m in range(smallest, n + 1):
+                    assert J.longer_prefix(m, percent, tenths) - J.own_tokens(m, percent) >= least >= 1
 
 
 def test_intersections(words):

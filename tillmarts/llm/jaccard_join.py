@@ -3,18 +3,19 @@
 Two documents link when 100 * |x & y| >= percent * |x | y|. Whatever the global order of tokens
 (shingles, as 64-bit hashes), a linked pair shares tokens among the first ones of both sets: with
 m(x) = |x| - ceil(percent * |x| / 100) tokens that x may have for itself, the first m(x) + l of x and
-m(y) + l of y share at least l. The join uses three orders, and what one lets pass the next must
+m(y) + l of y share at least l. The join uses four orders, and what one lets pass the next must
 let pass too:
 
 1. By hash, over all documents. The first 1.3 (m + 1) tokens of every set are met with those of all
    others; a set of which too few occur elsewhere has no partner. Documents that merely
-   share a passage end here. Tokens travel packed and once per chunk of documents, so the most
-   frequent one costs one entry per chunk.
-2. Rarest first, ties by hash. Tokens are counted among the sets that are left. The first m + 1 of
+   share a passage end here, mostly. Tokens travel packed and once per chunk of documents, so the
+   most frequent one costs one entry per chunk.
+2. By hash, in the opposite direction, over what is left: the same with 3.3 (m + 1) tokens.
+3. Rarest first, ties by hash. Tokens are counted among the sets that are left. The first m + 1 of
    a set are mostly its own; where they are not, stars from each token to the smallest set that
    has it join the sets into groups, within which all links lie.
-3. Rarest first, ties by hash in the opposite direction. Within a group a pair must share a prefix
-   token under orders 2 and 3 before its whole sets are compared.
+4. Rarest first, ties by hash in the opposite direction. Within a group a pair must share a prefix
+   token under orders 3 and 4 before its whole sets are compared.
 
 Equal sets are one class from the start. Groups are compared in blocks of bounded size, a large
 group as pairs of blocks, and each block returns a spanning forest of its links, never all
@@ -30,14 +31,14 @@ gives no rows; very long texts are taken whole; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillmarts.llm.common import LOWERED, WORDS, fresh_name, map_batches
@@ -48,9 +49,11 @@ from tillmarts.storage import materialize
 CHUNK_TOKENS, BLOCK_SETS, UNIT_SETS = 1_000_000, 512, 2048
 #: Words a task remembers the hash of.
 MEMO_WORDS = 500_000
-#: The longer prefix of the first order, in tenths of the plain one.
-LONGER = 13
+#: The longer prefixes of orders 1 and 2, in tenths of the plain one.
+LONGER, LONGEST = 13, 33
 
+#: Stands for a NULL key in joins.
+_NO_KEY = -(1 << 63)
 _MANY = np.uint32(0xFFFFFFFF)
 # Odd multipliers for mixing.
 _MULTIPLIERS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
@@ -101,11 +104,11 @@ def own_tokens(n: int, percent: int) -> int:
     return n - -(-n * percent // 100)
 
 
-def longer_prefix(n: int, percent: int) -> int:
-    return min(n, -(-LONGER * (own_tokens(n, percent) + 1) // 10))
+def longer_prefix(n: int, percent: int, tenths: int = LONGER) -> int:
+    return min(n, -(-tenths * (own_tokens(n, percent) + 1) // 10))
 
 
-def least_shared(n: Column, percent: int) -> Column:
+def least_shared(n: Column, percent: int, tenths: int = LONGER) -> Column:
     """How many of its longer prefix a set of ``n`` shares at least with a linked set.
 
     The number does not fall as sets grow, so the smallest possible partner decides.
@@ -113,15 +116,25 @@ def least_shared(n: Column, percent: int) -> Column:
     ceil = lambda c: F.floor((c * percent + 99) / 100)
     smallest = ceil(n)
     own = smallest - ceil(smallest)
-    return F.least(smallest, F.floor(((own + 1) * LONGER + 9) / 10)) - own
+    return F.least(smallest, F.floor(((own + 1) * tenths + 9) / 10)) - own
 
 
-# Order 1. Rows of the shuffle: packed tokens of one chunk and range, or a chunk's documents.
+# Orders 1 and 2. Rows of the shuffle: packed tokens of one chunk and range, or a chunk's documents.
 _PACKED = "range int, chunk long, tokens binary, owners binary, sigs binary, docs binary"
 _MET = "doc_id long, id_known boolean, n long, sig long, sig2 long, chunk long, hits long"
 
 
-def _pack(words: int, percent: int, ranges: int):
+def _from_texts(batch: pa.RecordBatch, words: int, hashes: dict[str, int]) -> Iterator[tuple]:
+    for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+        yield key, shingles(text.as_py(), words, hashes)
+
+
+def _from_sets(batch: pa.RecordBatch, words: int, hashes: dict[str, int]) -> Iterator[tuple]:
+    for tokens in batch.column(1):
+        yield 0, tokens.values.to_numpy().view(np.uint64)
+
+
+def _pack(read, words: int, percent: int, ranges: int, tenths: int, backwards: bool):
     kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 4]
     names = ["range", "chunk", "tokens", "owners", "sigs", "docs"]
 
@@ -131,6 +144,7 @@ def _pack(words: int, percent: int, ranges: int):
         docs: list[tuple] = []
         owner_of: dict[tuple, int] = {}
         prefixes: list[np.ndarray] = []
+        sizes: list[int] = []
         size = 0
 
         def chunk() -> pa.RecordBatch:
@@ -154,24 +168,23 @@ def _pack(words: int, percent: int, ranges: int):
                 at = order[cuts[r] : cuts[r + 1]]
                 if len(at):
                     rows.append((r, number, tokens[at].tobytes(), owners[at].tobytes(), sigs.tobytes(), None))
-            met = [(0, False, len(p), *key, number, int(h)) for p, key, h in zip(sizes, owner_of, local)]
+            met = [(0, False, n, *key, number, int(h)) for n, key, h in zip(sizes, owner_of, local)]
             table = np.array([(*d, 0, -1) for d in docs] + met, np.dtype([(c, np.int64) for c in "abcdefg"]))
             rows.append((number % ranges, number, None, None, None, table.tobytes()))
             return pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names
             )
 
-        sizes: list[np.ndarray] = []
         for batch in batches:
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                found = shingles(text.as_py(), words, hashes)
+            for key, found in read(batch, words, hashes):
                 n = len(found)
                 sig = signature(found)
                 docs.append((key or 0, key is not None, n, *sig))
                 if n and sig not in owner_of:
                     owner_of[sig] = len(owner_of)
-                    sizes.append(found)
-                    prefixes.append(found[: longer_prefix(n, percent)])
+                    sizes.append(n)
+                    k = longer_prefix(n, percent, tenths)
+                    prefixes.append(found[n - k :] if backwards else found[:k])
                     size += n
                 if size >= CHUNK_TOKENS or len(docs) >= CHUNK_TOKENS // 10:
                     yield chunk()
@@ -313,41 +326,66 @@ def _hub_link(percent: int):
     return run
 
 
-def _candidates(sets: DataFrame, percent: int) -> DataFrame:
-    """Sets whose prefix under order 2 has a token of another set: sig, n, tokens, second, third."""
+def _meeting(rows: DataFrame, read, words: int, percent: int, tenths: int, backwards: bool) -> DataFrame:
+    """The packed tokens of ``rows`` brought together: rows of ``_MET``, written."""
+    # Half as many ranges as shuffle partitions: every range carries its chunks' signatures.
+    ranges = -(-int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 2)
+    packed = map_batches(rows, _PACKED, _pack(read, words, percent, ranges, tenths, backwards))
+    return materialize(packed.groupBy("range").applyInPandas(_meet, _MET), "met")
+
+
+def _passed(met: DataFrame, percent: int, tenths: int) -> DataFrame:
+    """sig and n of the sets that share enough. One in several chunks is judged by the best of them."""
+    hits = met.filter("hits >= 0").groupBy("sig", "chunk").agg(F.sum("hits").alias("hits"), F.max("n").alias("n"))
+    hits = hits.groupBy("sig").agg(F.max("hits").alias("hits"), F.max("n").alias("n"))
+    return hits.filter(F.col("hits") >= least_shared(F.col("n"), percent, tenths)).select("sig", "n")
+
+
+@contextmanager
+def _runtime_filters(spark: SparkSession) -> Iterator[None]:
+    """Let Spark filter the large side of a shuffle join by a Bloom filter of the small one, whatever
+    the size of the large one; where the small one is too large for that, it just shuffles."""
+    name = "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "0")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def _prefixes(sets: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """sig, second, third: the shared tokens in the prefixes of orders 3 and 4, where there are any."""
     tokens = sets.select("sig", F.explode("tokens").alias("token"))
     counts = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
     shared = tokens.join(counts, "token").groupBy("sig").agg(F.collect_list(F.struct("df", "token")).alias("shared"))
-    rows = sets.join(shared, "sig").withColumn("n", F.size("tokens"))
+    rows = shared.join(sizes, "sig")
     own = F.col("n") - F.floor((F.col("n") * percent + 99) / 100)
     # Tokens of no other set come first in both orders; what is left of the prefix is shared ones.
     room = (own + 1 - (F.col("n") - F.size("shared"))).cast("int")
     opposite = F.transform("shared", lambda s: F.struct(s["df"], F.bitwise_not(s["token"]).alias("token")))
-    rows = rows.filter(room > 0).withColumns(
-        {
-            "second": F.slice(F.sort_array("shared"), 1, room)["token"],
-            "third": F.transform(F.slice(F.sort_array(opposite), 1, room)["token"], F.bitwise_not),
-            "rarest": F.slice(F.sort_array("shared"), 1, 1)["df"][0],
-        }
+    return rows.filter(room > 0).select(
+        "sig",
+        F.slice(F.sort_array("shared"), 1, room)["token"].alias("second"),
+        F.transform(F.slice(F.sort_array(opposite), 1, room)["token"], F.bitwise_not).alias("third"),
     )
-    return rows.select("sig", "n", "tokens", "second", "third")
 
 
-def _group_edges(candidates: DataFrame) -> DataFrame:
+def _group_edges(prefixes: DataFrame) -> DataFrame:
     """Stars from each prefix token to the smallest set that has it."""
-    prefix = candidates.select("sig", F.explode("second").alias("token"))
+    prefix = prefixes.select("sig", F.explode("second").alias("token"))
     hubs = prefix.groupBy("token").agg(F.min("sig").alias("hub"), F.max("sig").alias("top")).filter("hub <> top")
     return prefix.join(hubs.select("token", "hub"), "token").select(F.col("sig").alias("a"), F.col("hub").alias("b"))
 
 
-def _blocks(grouped: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """The sets dealt to units of comparison, and the links that were found on the way."""
-    sizes = grouped.groupBy("group").agg(
+def _blocks(groups: DataFrame, sets: DataFrame, prefixes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The sets of each group dealt to units of comparison, and the links that were found on the
+    way. ``groups`` (sig, group) and what follows from it stays narrow until the end."""
+    sizes = groups.groupBy("group").agg(
         F.count(F.lit(1)).alias("g"), F.min(F.struct(F.xxhash64("sig"), "sig"))["sig"].alias("hub")
     )
-    sizes = materialize(sizes, "group-sizes")
-    members = grouped.join(sizes, "group")
-    large = members.filter(F.col("g") > BLOCK_SETS)
+    members = materialize(groups.join(sizes, "group"), "members")
+    large = members.filter(F.col("g") > BLOCK_SETS).join(sets, "sig")
     hubs = large.filter("sig = hub").select("group", F.col("tokens").alias("hub_tokens")).dropDuplicates(["group"])
     stars = large.join(hubs, "group").select("sig", "hub", "tokens", "hub_tokens")
     stars = map_batches(stars, "sig long, hub long, linked boolean", _hub_link(percent)).filter("linked")
@@ -356,29 +394,25 @@ def _blocks(grouped: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     members = members.withColumn("joined", F.coalesce("joined", F.lit(False)))
     # Blocks hold either sets that link with the hub or sets that don't; two blocks of the
     # first kind need not meet.
-    counts = members.groupBy("group", "joined").agg(F.count(F.lit(1)).alias("m"))
-    counts = counts.groupBy("group").agg(
-        F.ceil(F.coalesce(F.sum(F.when(F.col("joined"), F.col("m"))), F.lit(0)) / BLOCK_SETS).cast("int").alias("with_hub"),
-        F.ceil(F.coalesce(F.sum(F.when(~F.col("joined"), F.col("m"))), F.lit(0)) / BLOCK_SETS).cast("int").alias("without"),
+    blocks = lambda which: F.ceil(F.count(F.when(which, 1)) / BLOCK_SETS).cast("int")
+    counts = members.groupBy("group").agg(
+        blocks(F.col("joined")).alias("with_hub"), blocks(~F.col("joined")).alias("without")
     )
-    members = members.join(materialize(counts, "block-counts"), "group")
+    members = members.join(counts, "group")
     spread = F.xxhash64("sig", F.lit(11))
     block = F.when(F.col("joined"), F.pmod(spread, F.greatest("with_hub", F.lit(1)))).otherwise(
         F.col("with_hub") + F.pmod(spread, F.greatest("without", F.lit(1)))
     )
-    members = members.withColumn("block", block.cast("int"))
+    members = materialize(members.withColumn("block", block.cast("int")), "blocks")
     every = F.sequence(F.lit(0), F.col("with_hub") + F.col("without") - 1)
-    met = F.when(
-        F.col("joined"), F.filter(every, lambda k: k >= F.col("with_hub"))
-    ).otherwise(every)
-    dealt = members.withColumn("other", F.explode(met)).withColumns(
-        {"i": F.least("block", "other"), "j": F.greatest("block", "other")}
-    )
-    total = F.pmod(F.xxhash64("group", "i", "j"), F.lit(max(1, -(-grouped.count() // UNIT_SETS)) * 4))
-    unit = F.when(F.col("g") > BLOCK_SETS, F.xxhash64("group", "i", "j")).otherwise(total)
-    dealt = dealt.select(
-        unit.alias("unit"), "group", "i", "j", "block", "joined", "sig", "tokens", "second", "third"
-    )
+    met = F.when(F.col("joined"), F.filter(every, lambda k: k >= F.col("with_hub"))).otherwise(every)
+    units = 4 * max(1, -(-members.count() // UNIT_SETS))
+    dealt = members.join(sets, "sig").join(prefixes, "sig").withColumn("other", F.explode(met))
+    dealt = dealt.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
+    # Small groups share units, each pair of blocks of a large one is its own.
+    at = F.xxhash64("group", "i", "j")
+    unit = F.when(F.col("g") > BLOCK_SETS, at).otherwise(F.pmod(at, F.lit(units)))
+    dealt = dealt.select(unit.alias("unit"), "group", "i", "j", "block", "joined", "sig", "tokens", "second", "third")
     return dealt, stars.select(F.col("sig").alias("a"), F.col("hub").alias("b"))
 
 
@@ -387,40 +421,39 @@ def join(
 ) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (the smallest key it is linked with,
     directly or through others, itself included)."""
-    spark = docs.sparkSession
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    packed = map_batches(rows, _PACKED, _pack(words, percent, ranges))
-    met = materialize(packed.groupBy("range").applyInPandas(_meet, _MET), "met")
-
+    met = _meeting(rows, _from_texts, words, percent, LONGER, False)
     known = met.filter("hits = -1").select(
         F.when(F.col("id_known"), F.col("doc_id")).alias("doc_id"), "n", "sig", "sig2"
     )
     classes = known.filter("n > 0").groupBy("sig", "sig2").agg(F.min("doc_id").alias("least_id"))
-    # Order 1. A set that lies in several chunks is judged by the chunk that met most.
-    hits = met.filter("hits >= 0").groupBy("sig", "chunk").agg(F.sum("hits").alias("hits"), F.max("n").alias("n"))
-    hits = hits.groupBy("sig").agg(F.max("hits").alias("hits"), F.max("n").alias("n"))
-    left = hits.filter(F.col("hits") >= least_shared(F.col("n"), percent)).select("sig")
-    wanted = materialize(classes.join(left, "sig").select("least_id", "sig"), "left")
-    texts = rows.join(wanted.select("least_id").distinct(), F.col("doc_id").eqNullSafe(F.col("least_id")), "left_semi")
-    sets = map_batches(texts.select("text"), "sig long, tokens array<long>", _sets(words))
-    sets = materialize(sets.filter(F.size("tokens") > 0), "sets")
-    # Orders 2 and 3.
-    candidates = materialize(_candidates(sets, percent), "candidates")
-    groups = components(_group_edges(candidates))
-    grouped = candidates.join(groups.select(F.col("node").alias("sig"), F.col("label").alias("group")), "sig")
-    grouped = materialize(grouped, "grouped")
-    dealt, stars = _blocks(grouped, percent)
+
+    # Order 1, then the whole sets of what is left, by one document of each class.
+    left = _passed(met, percent, LONGER)
+    at = F.coalesce(F.col("least_id"), F.lit(_NO_KEY))
+    left = materialize(classes.join(left, "sig").select(at.alias("_least"), "n"), "left").filter("n > 0")
+    rows = rows.withColumn("_key", F.coalesce("doc_id", F.lit(_NO_KEY)))
+    texts = rows.join(left, F.col("_key") == F.col("_least"), "left_semi")
+    with _runtime_filters(docs.sparkSession):
+        sets = map_batches(texts.select("text"), "sig long, tokens array<long>", _sets(words))
+        sets = materialize(sets.filter(F.size("tokens") > 0), "sets")
+    # Order 2.
+    met = _meeting(sets, _from_sets, words, percent, LONGEST, True)
+    left = materialize(_passed(met, percent, LONGEST), "left")
+    sets = materialize(sets.join(left.select("sig"), "sig", "left_semi"), "sets")
+    # Orders 3 and 4.
+    prefixes = materialize(_prefixes(sets, left, percent), "prefixes")
+    groups = components(_group_edges(prefixes)).select(F.col("node").alias("sig"), F.col("label").alias("group"))
+    dealt, stars = _blocks(groups, sets, prefixes, percent)
     compared = materialize(dealt.groupBy("unit").applyInPandas(_compare(percent), "a long, b long"), "links")
     linked = components(compared.union(stars))
     # A component is named after the smallest key of all its classes.
     named = classes.join(linked.withColumnRenamed("node", "sig"), "sig", "left")
     named = named.withColumn("label", F.coalesce("label", "sig"))
-    names = materialize(named.groupBy("label").agg(F.min("least_id").alias("component_id")), "names")
-    labels = materialize(
-        named.filter(F.col("label") != F.col("sig")).select("sig", "label").distinct(), "labels"
-    )
-    out = known.join(labels, "sig", "left").withColumn("label", F.coalesce("label", "sig")).join(names, "label", "left")
+    named = materialize(named.select("sig", "label", "least_id"), "named")
+    names = named.groupBy("label").agg(F.min("least_id").alias("component_id"))
+    names = named.join(names, "label").groupBy("sig").agg(F.min("component_id").alias("component_id"))
+    out = known.join(materialize(names, "names"), "sig", "left")
     return out.select(
         "doc_id",
         F.col("n").alias("n_shingles"),

@@ -18,6 +18,7 @@ from tillmarts.catalog.expected import (
 )
 from tillmarts.catalog.registry import query
 from tillmarts.functions import lookups as L
+from tillmarts.functions.numbers import money_sum
 from tillmarts.operators.sets import union_all
 from tillmarts.plans import ads, marts, sales, shop, stock
 from tillmarts.plans.calendar import calendar_of
@@ -318,25 +319,26 @@ def trailing_visit_totals(spark: SparkSession, folder: str) -> DataFrame:
     return shop.trailing_visit_totals(scan_table(spark, folder, "events"), "2024-02-15")
 
 
+# Marts that keep their input's rows, with a column to add up.
 _MART_ROWS = {
-    "stg_document_lines": "doc_lines",
-    "stg_stock": "stock_rows",
-    "ads_budget": "daily_ads",
-    "date_table": "order_calendar",
-    "sales_core": "core",
+    "stg_document_lines": ("doc_lines", "detail_quantity"),
+    "stg_stock": ("stock_rows", "quantity"),
+    "ads_budget": ("daily_ads", "spend"),
+    "date_table": ("order_calendar", "1.0"),
+    "sales_core": ("core", "detail_net_amount"),
 }
 
 
 @query(
     expect(
         " UNION ALL ".join(
-            f"SELECT '{mart}' AS mart, count(*) AS n FROM {block}"
-            for mart, block in _MART_ROWS.items()
+            f"SELECT '{mart}' AS mart, count(*) AS n, {money(column)} AS total FROM {block}"
+            for mart, (block, column) in _MART_ROWS.items()
         )
     )
 )
 def build_marts(spark: SparkSession, folder: str) -> DataFrame:
-    """All marts written from their sources; the row counts of those that keep their input's rows."""
+    """All marts written from their sources; rows and totals of those that keep their input's rows."""
     sources = marts.Sources(
         documents=S.documents(spark, folder),
         document_types=S.document_types(spark),
@@ -350,7 +352,9 @@ def build_marts(spark: SparkSession, folder: str) -> DataFrame:
     )
     built = marts.build_marts(spark, sources, fresh_path(spark, "marts"), S.ADS_AS_OF)
     counts = [
-        built[mart].agg(F.count(F.lit(1)).alias("n")).select(F.lit(mart).alias("mart"), "n")
-        for mart in _MART_ROWS
+        built[mart]
+        .agg(F.count(F.lit(1)).alias("n"), money_sum(F.expr(column)).alias("total"))
+        .select(F.lit(mart).alias("mart"), "n", "total")
+        for mart, (_, column) in _MART_ROWS.items()
     ]
     return union_all(*counts)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tillmarts.functions.dates import local_to_epoch
 from tillmarts.functions.lookups import LOCAL_ZONE
+from tillmarts.operators.sets import cut_interval
 
 
 def filter_in(df: DataFrame, col: str, values: Sequence) -> DataFrame:
@@ -81,9 +82,11 @@ def filter_id_intervals(
     width: int = 10_000,
 ) -> DataFrame:
     """Rows of ``df`` matched to the interval holding their id (an equi join on id blocks)."""
-    blocks = intervals.withColumn(
-        "_block", F.explode(F.sequence(F.floor(F.col(first) / width), F.floor(F.col(last) / width)))
-    )
+    # Cut in two levels, so that a wide interval does not become one long array.
+    begin, end = F.floor(F.col(first) / width), F.floor(F.col(last) / width)
+    spans = cut_interval(intervals, begin, end, width, "_span")
+    until = F.least(F.col("_span") + width - 1, end)
+    blocks = cut_interval(spans, F.col("_span"), until, 1, "_block").drop("_span")
     rows = df.withColumn("_block", F.floor(F.col(col) / width))
     return (
         rows.join(blocks, "_block").filter(F.col(col).between(F.col(first), F.col(last))).drop("_block")

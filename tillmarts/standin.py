@@ -18,7 +18,7 @@ from tillmarts.functions.numbers import money_sum
 from tillmarts.plans import ads as ads_plan
 from tillmarts.plans import sales, stock as stock_plan
 from tillmarts.plans.calendar import calendar_of
-from tillmarts.storage import read_parquet, materialize, staged
+from tillmarts.storage import materialize, read_parquet, staged
 
 # First word of a part name -> colour code. "large" matches two rules, "new" none.
 WORD_CODES = {
@@ -217,8 +217,6 @@ def detail_pages(spark: SparkSession, folder: str) -> DataFrame:
     items = _table(spark, folder, "lineitem").withColumn(
         "page", F.floor(F.monotonically_increasing_id() / PAGE_RUN)
     )
-    # The flat columns are shuffled; the nested ones are built where they are packed.
-    items = items.repartition("l_orderkey", "page")
     v = variants(spark, folder).select("variant_id", "variant_code", "variant_description")
     items = items.join(v, F.col("l_partkey") == F.col("variant_id"))
     price, tax, off = F.col("l_extendedprice"), F.col("l_tax"), F.col("l_discount")

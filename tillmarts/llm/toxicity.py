@@ -169,11 +169,10 @@ def _fit_rows(sample: pd.DataFrame) -> pd.DataFrame:
 def train(
     docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", sample: int = SAMPLE
 ) -> Model:
-    """Fit on at most ``sample`` of the rows of ``labels`` (key, toxic) that ``docs`` has."""
+    """Fit on at most ``sample`` rows of ``labels`` (key, toxic); those that ``docs`` lacks teach nothing."""
     ship_code(docs.sparkSession)
     known = labels.filter(F.col(key).isNotNull() & F.col("toxic").isNotNull())
     known = known.groupBy(F.col(key).cast("long").alias("_key")).agg(F.max("toxic").cast("int").alias("toxic"))
-    known = known.join(docs.select(F.col(key).cast("long").alias("_key")).distinct(), "_key", "left_semi")
     chosen = known.orderBy(F.xxhash64("_key"), "_key").limit(sample)
     # Bounded by ``sample`` rows of two numbers, so sending it to every task is safe.
     rows = docs.select(F.col(key).cast("long").alias("_key"), F.col(text).alias("text")).join(

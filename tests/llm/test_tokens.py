@@ -34,6 +34,7 @@ def test_parts_encode_like_the_whole(both, text):
 def test_the_memo_stays_bounded_and_right(both, monkeypatch, words):
     encoder, plain = both
     monkeypatch.setattr(tokens, "MEMO_PARTS", 30)
+    monkeypatch.setattr(tokens, "MEMO_WORDS", 30)
     for i in range(40):
         text = f"{words[i]} {' '.join(words[i : i + 9])}, {'y' * 100}. {words[i]}!"
         assert list(np.frombuffer(encoder(text), "<u4")) == plain.encode(text, add_special_tokens=False).ids

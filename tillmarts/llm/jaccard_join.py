@@ -48,7 +48,7 @@ from tillmarts.storage import materialize
 #: Tokens of a chunk of documents, sets of a block, and sets that one task compares, about.
 CHUNK_TOKENS, BLOCK_SETS, UNIT_SETS = 1_000_000, 512, 2048
 #: Words a task remembers the hash of.
-MEMO_WORDS = 500_000
+MEMO_WORDS = 150_000
 #: The longer prefixes of orders 1 and 2, in tenths of the plain one.
 LONGER, LONGEST = 13, 33
 

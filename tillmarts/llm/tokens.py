@@ -18,6 +18,8 @@ from tokenizers import Tokenizer
 
 #: Parts a task remembers, and the longest part worth remembering.
 MEMO_PARTS, MEMO_CHARS = 1_000_000, 40
+#: The same for tokenizers that drop white space, which have fewer different parts.
+MEMO_WORDS = 400_000
 #: Stands between parts that are encoded in one call; an id of its own, so the parts stay apart.
 SEPARATOR = "<|endoftext|>"
 
@@ -62,7 +64,7 @@ class Encoder:
                 wanted.update(both)
             else:
                 wanted.add(part)
-        if len(self.known) > MEMO_PARTS:
+        if len(self.known) > (MEMO_WORDS if self.drops_space else MEMO_PARTS):
             self.known = {"": b""}
         known = self.known
         parts = list(wanted.difference(known))

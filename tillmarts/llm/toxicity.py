@@ -45,7 +45,7 @@ SENTENCE_THRESHOLD = 0.3
 PREFIXES, LEAST_DOCUMENTS = range(3, 9), 3
 ROUNDS, RATE, SHRINK = 150, 0.15, 1e-5
 #: Words a task remembers the weight of.
-MEMO_WORDS = 500_000
+MEMO_WORDS = 100_000
 
 #: A sentence has at least one word character.
 _SENTENCE = re.compile(r"[^\w.!?\n]*\w[^.!?\n]*")

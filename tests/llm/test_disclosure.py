@@ -127,3 +127,12 @@ def test_thresholds_by_hand(spark, documents):
 
 def test_empty_table(documents):
     assert D.report(D.find(documents([]))).count() == 0
+
+
+@pytest.mark.parametrize("n", [49, 50, 120])
+def test_no_piece_of_an_entity_is_a_term_however_many_there_are(n):
+    text = ", ".join(f"person{'abcdefghij'[i % 10]} writes from name{'klmnopqrst'[i // 10 % 10]}.surname@host.example" for i in range(n))
+    spans = D.base_spans(text)
+    terms = {(a, b) for _, _, _, a, b in D.surroundings(text, spans)}
+    assert len(spans) == n and terms
+    assert not any(a < e and s < b for a, b in terms for s, _, e in spans)

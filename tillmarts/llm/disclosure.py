@@ -114,9 +114,23 @@ def _terms(text: str, start: int, end: int, last: bool) -> list[tuple[str, int,
     return words[-WINDOW_WORDS:] if last else words[:WINDOW_WORDS]
 
 
+def uncovered(words: list[tuple[str, int, int]], spans: list[tuple[int, int, int]]) -> list[tuple[str, int, int]]:
+    """Those of ``words`` that no span overlaps; both in order of their start, so one merge finds them."""
+    left, i, reach = [], 0, 0
+    for word, a, b in words:
+        while i < len(spans) and spans[i][0] < b:
+            reach = max(reach, spans[i][2])
+            i += 1
+        if reach <= a:
+            left.append((word, a, b))
+    return left
+
+
 def surroundings(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int, str, int, int]]:
     """(entity, hash of its surroundings, term, start, end) for every term near an entity."""
     found: dict[tuple, tuple] = {}
+    every = [(m[0].lower(), m.start(), m.end()) for m in _TERM.finditer(text)]
+    outside = {(a, b) for _, a, b in uncovered(every, spans)}
     for start, kind, end in spans:
         value = text[start:end].lower() if kind < 2 else _NOT_DIGIT.sub("", text[start:end])
         entity = _hashed(f"{kind}:{value}")
@@ -124,7 +138,7 @@ def surroundings(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int
         right = _terms(text, end, min(len(text), end + WINDOW_CHARS), False)
         around = _hashed(" ".join(w for w, _, _ in [*left, ("|", 0, 0), *right]))
         for word, a, b in [*left, *right]:
-            if not any(a < e and s < b for s, _, e in (spans if len(spans) < 50 else [(start, kind, end)])):
+            if (a, b) in outside:
                 found.setdefault((entity, word, a), (entity, around, word, a, b))
     return list(found.values())
 

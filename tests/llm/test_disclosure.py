@@ -136,3 +136,27 @@ def test_no_piece_of_an_entity_is_a_term_however_many_there_are(n):
     terms = {(a, b) for _, _, _, a, b in D.surroundings(text, spans)}
     assert len(spans) == n and terms
     assert not any(a < e and s < b for a, b in terms for s, _, e in spans)
+
+
+def term_marks(got, texts):
+    marked = Counter()
+    for r in got:
+        for kind, a, b in (x.split(":") for x in filter(None, r.spans.split(","))):
+            if kind == "term":
+                marked[r.doc_id, texts[r.doc_id][int(a) : int(b)]] += 1
+    return marked
+
+
+def test_terms_count_and_are_marked_in_whole_documents(documents):
+    """A nickname far from its address, again later in the document, and once without the address."""
+    far = " ".join(["the usual things about day and night"] * 40)
+    rows = [(i, f"word{i} said {far}", "en", "a") for i in range(300)]
+    rows += [(1000 + i, f"{'abcdefgh'[i] * 4} jd@host.org {far} zorro {far} zorro", "en", "a") for i in range(8)]
+    rows += [(2000, f"zorro {far}", "en", "a")]
+    texts = {i: t for i, t, *_ in rows}
+    _, got = report(documents, rows)
+    assert {k: n for k, n in term_marks(got, texts).items() if k[1] == "zorro"} == {(1000 + i, "zorro"): 2 for i in range(8)}
+    _, got = report(documents, rows, everywhere=True)
+    marked = term_marks(got, texts)
+    assert marked[2000, "zorro"] == 1 and all(marked[1000 + i, "zorro"] == 2 for i in range(8))
+    assert not {"the", "usual", "night"} & {w for _, w in marked}

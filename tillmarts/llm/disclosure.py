@@ -1,18 +1,20 @@
 """Information-theoretic sanitisation of personal data.
 
 Entities (e-mail and IP addresses, card and phone numbers) are found by their form and protected
-everywhere. Terms near them can reveal them as well: how strongly, the corpus tells. With
+everywhere. Terms in the same documents can reveal them as well: how strongly, the corpus tells. With
 documents as units, a term t discloses an entity E as far as its pointwise mutual information,
 
     PMI(t; E) = log2( N df(t, E) / (df(t) df(E)) ),
 
-covers the information E holds, IC(E) = log2(N / df(E)). Terms for which PMI reaches
-``DISCLOSURE`` of IC, in at least ``SUPPORT`` different surroundings of E (copies of a text give one
-surrounding), become spans of kind ``term``. A term that never occurs without E is removed, others
-are generalised to the shape of a word.
+covers the information E holds, IC(E) = log2(N / df(E)). A document counts for (t, E) wherever t
+stands in it. Terms for which PMI reaches ``DISCLOSURE`` of IC, in at least ``SUPPORT`` different
+surroundings of E (copies of a text give one surrounding), become spans of kind ``term``, at every
+place of every document that holds E, or with ``everywhere`` of every document. A term that never
+occurs without E is removed, others are generalised to the shape of a word.
 
 All counts cover all documents. Words are counted per task before anything is shuffled, a document
-gives each of its (entity, term) pairs once, and only pairs that pass the thresholds are joined back.
+gives each of its (entity, term) pairs once, summed per task before the shuffle, and only words whose
+hash is that of a disclosing term are joined with those.
 
 Defined results: NULL text counts as empty and has no spans; NULL and repeated keys are documents
 like any other; overlapping spans of different kinds all stay in the list, and ``sanitise`` takes
@@ -23,6 +25,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -36,12 +39,14 @@ from tillmarts.storage import materialize
 
 #: Kinds in the order in which spans with the same start are listed.
 KINDS = ("email", "ip", "card", "phone", "term")
-#: Words of an entity's surroundings, on either side, and how far they are looked for.
+#: Words on either side of an entity that tell its surroundings apart, and how far they are looked for.
 WINDOW_WORDS, WINDOW_CHARS = 8, 160
 #: Share of an entity's information from which a term discloses it; surroundings that must show it.
 DISCLOSURE, SUPPORT = 0.75, 3
-#: Different words a task counts before it hands them on.
+#: Different words a task counts before it hands them on, or remembers.
 COUNTED_WORDS = 200_000
+#: Bits that tell words that may be disclosing terms from the rest, by CRC-32.
+BITS = 1 << 22
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
@@ -126,55 +131,111 @@ def uncovered(words: list[tuple[str, int, int]], spans: list[tuple[int, int, int
     return left
 
 
-def surroundings(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int, str, int, int]]:
-    """(entity, hash of its surroundings, term, start, end) for every term near an entity."""
-    found: dict[tuple, tuple] = {}
-    every = [(m[0].lower(), m.start(), m.end()) for m in _TERM.finditer(text)]
-    outside = {(a, b) for _, a, b in uncovered(every, spans)}
+def words_outside(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[str, int, int]]:
+    """(term, start, end) of all words of a text but those in its entities."""
+    return uncovered([(m[0].lower(), m.start(), m.end()) for m in _TERM.finditer(text)], spans)
+
+
+def _entity(text: str, start: int, kind: int, end: int) -> int:
+    value = text[start:end].lower() if kind < 2 else _NOT_DIGIT.sub("", text[start:end])
+    return _hashed(f"{kind}:{value}")
+
+
+def contexts(text: str, spans: list[tuple[int, int, int]]) -> dict[int, set[int]]:
+    """The entities of a text, each with the hashes of its surroundings."""
+    found: dict[int, set[int]] = {}
     for start, kind, end in spans:
-        value = text[start:end].lower() if kind < 2 else _NOT_DIGIT.sub("", text[start:end])
-        entity = _hashed(f"{kind}:{value}")
         left = _terms(text, max(0, start - WINDOW_CHARS), start, True)
         right = _terms(text, end, min(len(text), end + WINDOW_CHARS), False)
         around = _hashed(" ".join(w for w, _, _ in [*left, ("|", 0, 0), *right]))
-        for word, a, b in [*left, *right]:
-            if (a, b) in outside:
-                found.setdefault((entity, word, a), (entity, around, word, a, b))
-    return list(found.values())
+        found.setdefault(_entity(text, start, kind, end), set()).add(around)
+    return found
 
 
-_SPAN = pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64())])
-_NEAR = pa.struct(
-    [("entity", pa.int64()), ("around", pa.int64()), ("term", pa.string()), ("start", pa.int64()), ("end", pa.int64())]
-)
-FOUND = (
-    "task int, number long, doc_id long, base array<struct<start: long, kind: int, end: long>>, "
-    "near array<struct<entity: long, around: long, term: string, start: long, end: long>>"
-)
+def surroundings(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int, str, int, int]]:
+    """(entity, hash of its first surroundings, term, start, end) for every term in an entity's text."""
+    words = words_outside(text, spans)
+    return [(entity, min(around), *word) for entity, around in contexts(text, spans).items() for word in words]
+
+
+_NEAR = pa.struct([("entity", pa.int64()), ("around", pa.list_(pa.int64()))])
+_TERMS = pa.struct([("term", pa.string()), ("n", pa.int32())])
+FOUND = "near array<struct<entity: long, around: array<long>>>, terms array<struct<term: string, n: int>>"
 
 
 def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    task, number = TaskContext.get().partitionId(), 0
+    """The entities of every text and, once for all of them, its different terms and their number."""
     for batch in batches:
-        base, near = [], []
+        near, terms = [], []
         for value in batch.column(1):
             text = value.as_py() or ""
             spans = base_spans(text)
-            base.append([{"start": a, "kind": k, "end": b} for a, k, b in spans])
-            fields = ("entity", "around", "term", "start", "end")
-            near.append([dict(zip(fields, x)) for x in surroundings(text, spans)] if spans else [])
-        n = batch.num_rows
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([task] * n, pa.int32()),
-                pa.array(range(number, number + n), pa.int64()),
-                batch.column(0),
-                pa.array(base, pa.list_(_SPAN)),
-                pa.array(near, pa.list_(_NEAR)),
-            ],
-            ["task", "number", "doc_id", "base", "near"],
-        )
-        number += n
+            near.append([{"entity": e, "around": sorted(a)} for e, a in contexts(text, spans).items()])
+            counts = Counter(w for w, _, _ in words_outside(text, spans)) if spans else {}
+            terms.append([{"term": w, "n": n} for w, n in counts.items()])
+        columns = [pa.array(near, pa.list_(_NEAR)), pa.array(terms, pa.list_(_TERMS))]
+        yield pa.RecordBatch.from_arrays(columns, ["near", "terms"])
+
+
+_SPAN = pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64())])
+_PLACE = pa.struct([("term", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
+MARKED = (
+    "task int, number long, doc_id long, base array<struct<start: long, kind: int, end: long>>, "
+    "entities array<long>, places array<struct<term: string, start: long, end: long>>"
+)
+
+
+def _mark(bits: bytes):
+    """Entities and the words that may be disclosing terms, with their places."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, number = TaskContext.get().partitionId(), 0
+        known: dict[str, bool] = {}
+
+        def wanted(word: str) -> bool:
+            answer = known.get(word)
+            if answer is None:
+                bit = zlib.crc32(word.lower().encode("utf-8", "surrogatepass")) % BITS
+                answer = bool(bits[bit >> 3] >> (bit & 7) & 1)
+                if len(known) >= COUNTED_WORDS:
+                    known.clear()
+                known[word] = answer
+            return answer
+
+        for batch in batches:
+            base, entities, places = [], [], []
+            for value in batch.column(1):
+                text = value.as_py() or ""
+                spans = base_spans(text)
+                base.append([{"start": a, "kind": k, "end": b} for a, k, b in spans])
+                entities.append(list({_entity(text, *span) for span in spans}))
+                hits = {w for w in set(_TERM.findall(text)) if wanted(w)} if bits else ()
+                words = [(m[0].lower(), *m.span()) for m in _TERM.finditer(text) if m[0] in hits] if hits else []
+                places.append([{"term": w, "start": a, "end": b} for w, a, b in uncovered(words, spans)])
+            n = batch.num_rows
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([task] * n, pa.int32()),
+                    pa.array(range(number, number + n), pa.int64()),
+                    batch.column(0),
+                    pa.array(base, pa.list_(_SPAN)),
+                    pa.array(entities, pa.list_(pa.int64())),
+                    pa.array(places, pa.list_(_PLACE)),
+                ],
+                ["task", "number", "doc_id", "base", "entities", "places"],
+            )
+            number += n
+
+    return run
+
+
+def _bits(risky: DataFrame) -> bytes:
+    """A bit for the hash of every term of ``risky``; the driver receives at most ``BITS`` numbers."""
+    numbers = risky.select((F.crc32(F.col("term").cast("binary")) % BITS).alias("bit")).distinct().toArrow()
+    bits = bytearray(BITS >> 3)
+    for bit in numbers.column(0).to_pylist():
+        bits[bit >> 3] |= 1 << (bit & 7)
+    return bytes(bits) if numbers.num_rows else b""
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,7 +248,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         for value in batch.column(0):
-            counts.update(set(_TERM.findall((value.as_py() or "").lower())))
+            counts.update({w.lower() for w in set(_TERM.findall(value.as_py() or ""))})
             if len(counts) >= COUNTED_WORDS:
                 yield rows()
                 counts.clear()
@@ -204,14 +265,12 @@ def disclosing_terms(
 ) -> DataFrame:
     """entity, term and whether the term occurs with that entity only, for pairs over the thresholds."""
     total = found.count()
-    near = found.select("task", "number", F.explode("near").alias("x")).select("task", "number", "x.*")
-    once = near.groupBy("task", "number", "entity", "term").agg(F.min("around").alias("around"))
+    near = found.select(F.explode("near").alias("x"), "terms").select("x.*", "terms")
+    once = near.select("entity", "around", F.explode("terms").alias("x")).select("entity", "x.term", F.array_min("around").alias("around"))
     pairs = once.groupBy("entity", "term", "around").agg(F.count(F.lit(1)).alias("n"))
     pairs = pairs.groupBy("entity", "term").agg(F.sum("n").alias("df_pair"), F.count(F.lit(1)).alias("seen"))
     pairs = materialize(pairs.filter(F.col("seen") >= support), "pairs")
-    entities = (
-        near.select("task", "number", "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("df_entity"))
-    )
+    entities = near.groupBy("entity").agg(F.count(F.lit(1)).alias("df_entity"))
     wanted = pairs.select("term").distinct()
     words = map_batches(docs.select(text), "term string, n long", _count)
     words = words.groupBy("term").agg(F.sum("n").alias("df_term")).join(wanted, "term", "left_semi")
@@ -229,22 +288,31 @@ def find(
     text: str = "text",
     disclosure: float = DISCLOSURE,
     support: int = SUPPORT,
+    everywhere: bool = False,
 ) -> DataFrame:
     """task, number (a row's place), doc_id, base and terms: arrays of spans in order of their start.
 
     Spans are structs of start, kind, end (code points, end exclusive); terms also say whether the
-    term occurs with the entity only.
+    term occurs with the entity only. A disclosing term is marked wherever it stands in documents that
+    hold its entity, with ``everywhere`` in all documents.
     """
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     found = materialize(map_batches(rows, FOUND, _find), "personal-data")
     risky = materialize(disclosing_terms(found, rows, "text", disclosure, support), "disclosing")
-    near = found.select("task", "number", F.explode("near").alias("x")).select("task", "number", "x.*")
+    marked = materialize(map_batches(rows, MARKED, _mark(_bits(risky))), "marked")
+    places = marked.select("task", "number", "entities", F.explode("places").alias("x"))
+    if everywhere:
+        flagged = risky.groupBy("term").agg(F.max("only_here").alias("only_here"))
+        terms = places.select("task", "number", "x.*").join(flagged, "term")
+    else:
+        places = places.select("task", "number", F.explode("entities").alias("entity"), "x.*")
+        terms = places.join(risky, ["entity", "term"])
     span = F.struct("start", F.lit(KINDS.index("term")).alias("kind"), "end", "only_here")
-    terms = near.join(risky, ["entity", "term"]).groupBy("task", "number", "start", "end")
-    terms = terms.agg(F.max("only_here").alias("only_here")).groupBy("task", "number")
-    terms = terms.agg(F.sort_array(F.collect_list(span)).alias("terms"))
+    terms = terms.groupBy("task", "number", "start", "end").agg(F.max("only_here").alias("only_here"))
+    terms = terms.groupBy("task", "number").agg(F.sort_array(F.collect_list(span)).alias("terms"))
     empty = F.array().cast("array<struct<start: long, kind: int, end: long, only_here: boolean>>")
-    return found.drop("near").join(terms, ["task", "number"], "left").withColumn("terms", F.coalesce("terms", empty))
+    marked = marked.drop("entities", "places").join(terms, ["task", "number"], "left")
+    return marked.withColumn("terms", F.coalesce("terms", empty))
 
 
 def listed(spans):

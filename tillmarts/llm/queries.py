@@ -89,7 +89,7 @@ def op6_token_output(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op7_disclosure(spark: SparkSession, folder: str) -> DataFrame:
-    return disclosure.report(disclosure.find(table(spark, folder, "documents")))
+    return disclosure.report(disclosure.find(table(spark, folder, "documents"), everywhere=True))
 
 
 def op8_packing(spark: SparkSession, folder: str) -> DataFrame:

@@ -160,3 +160,19 @@ def test_terms_count_and_are_marked_in_whole_documents(documents):
     marked = term_marks(got, texts)
     assert marked[2000, "zorro"] == 1 and all(marked[1000 + i, "zorro"] == 2 for i in range(8))
     assert not {"the", "usual", "night"} & {w for _, w in marked}
+
+
+def test_an_entity_in_one_document_can_have_disclosing_terms(documents):
+    """Once is enough in a large corpus; in a small one it takes several surroundings, of one document too."""
+    many = [(i, "people said the usual things about day and night", "en", "a") for i in range(1500)]
+    once = (5000, "the usual things about Unicum and jd@host.org", "en", "a")
+    often = " ".join(f"zorro {'abcdefgh'[i] * 4} jd@host.org wrote {'klmnopqr'[i] * 4} the usual things about day and night" for i in range(8))
+    for rows, want in (
+        ([*many, once], {"Unicum": 1}),
+        ([*many[:100], once], {}),
+        ([*many[:100], (5000, often, "en", "a")], {"zorro": 8, "wrote": 8}),
+        ([*many[:100], *[(5000 + i, once[1], "en", "a") for i in range(8)]], {}),
+    ):
+        texts = {i: t for i, t, *_ in rows}
+        _, got = report(documents, rows)
+        assert {w: n for (_, w), n in term_marks(got, texts).items()} == want

@@ -7,10 +7,16 @@ documents as units, a term t discloses an entity E as far as its pointwise mutua
     PMI(t; E) = log2( N df(t, E) / (df(t) df(E)) ),
 
 covers the information E holds, IC(E) = log2(N / df(E)). A document counts for (t, E) wherever t
-stands in it. Terms for which PMI reaches ``DISCLOSURE`` of IC, in at least ``SUPPORT`` different
-surroundings of E (copies of a text give one surrounding), become spans of kind ``term``, at every
-place of every document that holds E, or with ``everywhere`` of every document. A term that never
-occurs without E is removed, others are generalised to the shape of a word.
+stands in it. Few observations prove little, and copies prove nothing new, so the share of t that
+falls to E, df(t, E) / df(t), is smoothed:
+
+    seen / (seen + df(t) - df(t, E) + SUPPORT),
+
+where ``seen`` counts the different surroundings of E that t was met with: in one document as many as
+E has there, but no more than t has places; surroundings that several documents share count once. There
+is no least number of documents. Terms for which the smoothed PMI reaches ``DISCLOSURE`` of IC become
+spans of kind ``term``, at every place of every document that holds E, or with ``everywhere`` of every
+document. A term that never occurs without E is removed, others are generalised to the shape of a word.
 
 All counts cover all documents. Words are counted per task before anything is shuffled, a document
 gives each of its (entity, term) pairs once, summed per task before the shuffle, and only words whose
@@ -31,7 +37,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillmarts.llm.common import map_batches
@@ -41,7 +47,8 @@ from tillmarts.storage import materialize
 KINDS = ("email", "ip", "card", "phone", "term")
 #: Words on either side of an entity that tell its surroundings apart, and how far they are looked for.
 WINDOW_WORDS, WINDOW_CHARS = 8, 160
-#: Share of an entity's information from which a term discloses it; surroundings that must show it.
+#: Share of an entity's information from which a term discloses it; documents without the entity that
+#: every term is taken to stand in besides those it does.
 DISCLOSURE, SUPPORT = 0.75, 3
 #: Different words a task counts before it hands them on, or remembers.
 COUNTED_WORDS = 200_000
@@ -266,22 +273,32 @@ def disclosing_terms(
     """entity, term and whether the term occurs with that entity only, for pairs over the thresholds."""
     total = found.count()
     near = found.select(F.explode("near").alias("x"), "terms").select("x.*", "terms")
-    once = near.select("entity", "around", F.explode("terms").alias("x")).select("entity", "x.term", F.array_min("around").alias("around"))
-    pairs = once.groupBy("entity", "term", "around").agg(F.count(F.lit(1)).alias("n"))
+    met = near.select("entity", "around", F.explode("terms").alias("x"))
+    met = met.select("entity", "x.term", F.slice("around", F.lit(1), F.least(F.size("around"), "x.n")).alias("around"))
+    # The document itself counts once, with the first of its surroundings.
+    met = met.select("entity", "term", F.posexplode("around").alias("at", "around"))
+    pairs = met.groupBy("entity", "term", "around").agg(F.sum((F.col("at") == 0).cast("long")).alias("n"))
     pairs = pairs.groupBy("entity", "term").agg(F.sum("n").alias("df_pair"), F.count(F.lit(1)).alias("seen"))
-    pairs = materialize(pairs.filter(F.col("seen") >= support), "pairs")
+    # Of documents without the entity there are none at best, and of those with it at least df_pair.
+    best = F.col("seen") / (F.col("seen") + support)
+    pairs = materialize(pairs.filter(_reaches(best, F.col("df_pair"), total, disclosure)), "pairs")
     entities = near.groupBy("entity").agg(F.count(F.lit(1)).alias("df_entity"))
     wanted = pairs.select("term").distinct()
     words = map_batches(docs.select(text), "term string, n long", _count)
     words = words.groupBy("term").agg(F.sum("n").alias("df_term")).join(wanted, "term", "left_semi")
     joined = pairs.join(entities, "entity").join(words, "term")
-    information = F.log2(F.lit(float(max(total, 1))) / F.col("df_entity"))
-    mutual = F.log2(F.lit(float(total)) * F.col("df_pair") / (F.col("df_term") * F.col("df_entity").cast("double")))
-    return joined.filter((information > 0) & (mutual >= information * disclosure)).select(
+    share = F.col("seen") / (F.col("seen") + F.col("df_term") - F.col("df_pair") + support)
+    return joined.filter(_reaches(share, F.col("df_entity"), total, disclosure)).select(
         "entity", "term", (F.col("df_term") <= F.col("df_pair")).alias("only_here")
     )
 
 
+def _reaches(share: Column, df_entity: Column, total: int, disclosure: float) -> Column:
+    """Whether a term discloses: for ``disclosure`` in [0, 1] never more easily with a larger ``df_entity``."""
+    information = F.log2(F.lit(float(max(total, 1))) / df_entity)
+    return (information > 0) & (information + F.log2(share) >= information * disclosure)
+
+
 def find(
     docs: DataFrame,
     key: str = "doc_id",

@@ -176,3 +176,9 @@ def test_an_entity_in_one_document_can_have_disclosing_terms(documents):
         texts = {i: t for i, t, *_ in rows}
         _, got = report(documents, rows)
         assert {w: n for (_, w), n in term_marks(got, texts).items()} == want
+
+
+def test_short_words_and_words_with_digits_are_terms():
+    text = "Li (user jd_1985b), 17 Elm, account 4711 0815: jd@host.org"
+    terms = [text[a:b] for _, _, _, a, b in D.surroundings(text, D.base_spans(text))]
+    assert terms == ["Li", "user", "jd_1985b", "17", "Elm", "account", "4711", "0815"]

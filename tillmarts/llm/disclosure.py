@@ -7,7 +7,8 @@ documents as units, a term t discloses an entity E as far as its pointwise mutua
     PMI(t; E) = log2( N df(t, E) / (df(t) df(E)) ),
 
 covers the information E holds, IC(E) = log2(N / df(E)). A document counts for (t, E) wherever t
-stands in it. Few observations prove little, and copies prove nothing new, so the share of t that
+stands in it. Terms are whole words of any length: runs of letters, digits and underscores outside
+entities, compared in lower case. Few observations prove little, and copies prove nothing new, so the share of t that
 falls to E, df(t, E) / df(t), is smoothed:
 
     seen / (seen + df(t) - df(t, E) + SUPPORT),
@@ -62,7 +63,8 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
-_TERM = re.compile(r"[^\W\d_]{3,}")
+#: Whole words, short ones, digits and user names included; the PMI decides.
+_TERM = re.compile(r"\w+")
 _NOT_DIGIT = re.compile(r"[^0-9]+")
 
 
@@ -119,8 +121,8 @@ def _terms(text: str, start: int, end: int, last: bool) -> list[tuple[str, int,
     """Whole words between two places, the last or the first ``WINDOW_WORDS`` of them."""
     words = []
     for m in _TERM.finditer(text, start, end):
-        before = m.start() > 0 and m.start() == start and text[m.start() - 1].isalnum()
-        after = m.end() < len(text) and m.end() == end and text[m.end()].isalnum()
+        before = m.start() > 0 and m.start() == start and _TERM.match(text, start - 1)
+        after = m.end() < len(text) and m.end() == end and _TERM.match(text, end)
         if not before and not after:
             words.append((m[0].lower(), m.start(), m.end()))
     return words[-WINDOW_WORDS:] if last else words[:WINDOW_WORDS]

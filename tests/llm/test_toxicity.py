@@ -86,3 +86,18 @@ def test_without_both_labels_everything_scores_zero(spark, documents, labels):
     model = T.train(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
     assert [r.score for r in T.score(docs, model).collect()] == [0.0, 0.0]
     assert T.score(documents([]), model).count() == 0 and T.locate(docs, model).count() == 0
+
+
+def test_every_toxic_document_has_a_located_sentence(documents):
+    """Three sentences of 0.15 to 0.2 make a toxic document; the worst of them is named."""
+    weights = {"mildfoo$": 2.2, "mildbar$": 2.6}
+    model = T.Model(-4.0, weights)
+    text = "One mildfoo here. Then mildbar there. And mildbar again."
+    scorer = T.Scorer(model)
+    parts = [-np.expm1(-scorer.sentence(s)) for s in T._SENTENCE.findall(text)]
+    assert max(parts) < T.SENTENCE_THRESHOLD and scorer.document(text) >= T.THRESHOLD
+    docs = documents([(1, text, "en", "a"), (2, "One mildfoo here.", "en", "a"), (3, None, "en", "a")])
+    found = T.locate(docs, model).collect()
+    assert [(r.doc_id, text[r.begin : r.end].strip()) for r in found] == [(1, "Then mildbar there")]
+    rows = {r.doc_id: r for r in T.score_and_locate(docs, model).collect()}
+    assert rows[1].located == f"{found[0].begin}:{found[0].end}" and rows[2].located == rows[3].located == ""

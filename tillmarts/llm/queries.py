@@ -28,8 +28,8 @@ def held_out(key: str = "doc_id"):
 def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
     model = toxicity.train(docs, labels.filter(~held_out()))
-    scored = toxicity.score(docs, model)
-    return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
+    scored = toxicity.score_and_locate(docs, model)
+    return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted", "located")
 
 
 def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:

@@ -204,11 +204,44 @@ def with_score(docs: DataFrame, model: Model, name: str, text: str = "text") ->
     return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, DoubleType())]))
 
 
+def offending(scorer: Scorer, text: str | None) -> tuple[float, list[tuple[int, int, float]]]:
+    """A document's score and (begin, end, score) of its offending sentences.
+
+    Those are the ones from ``SENTENCE_THRESHOLD`` on; where only several weaker ones together bring
+    the document to ``THRESHOLD``, the one that scores most, the first of equals.
+    """
+    whole = scorer.document(text)
+    if whole < min(THRESHOLD, SENTENCE_THRESHOLD):  # no sentence scores more than its document
+        return whole, []
+    scored = [(m.start(), m.end(), -math.expm1(-scorer.sentence(m[0]))) for m in _SENTENCE.finditer(text)]
+    found = [x for x in scored if x[2] >= SENTENCE_THRESHOLD]
+    if not found and whole >= THRESHOLD:
+        found = [max(scored, key=lambda x: x[2])]
+    return whole, found
+
+
+def score_and_locate(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, score, predicted (1 from ``THRESHOLD`` on) and located of every document.
+
+    ``located`` names the offending sentences, begin:end in code points joined by commas.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(model)
+        for batch in batches:
+            both = [offending(scorer, t.as_py()) for t in batch.column(1)]
+            located = [",".join(f"{a}:{b}" for a, b, _ in found) for _, found in both]
+            columns = [batch.column(0), pa.array([s for s, _ in both], pa.float64()), pa.array(located, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "score", "located"])
+
+    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    scored = map_batches(rows, "doc_id long, score double, located string", run)
+    return scored.select("doc_id", "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "located")
+
+
 def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, score and predicted (1 from ``THRESHOLD`` on) of every document."""
-    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    scored = with_score(rows, model, "score")
-    return scored.select("doc_id", "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+    return score_and_locate(docs, model, key, text).drop("located")
 
 
 def keep_clean(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
@@ -225,10 +258,7 @@ def locate(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text
         for batch in batches:
             found: list[tuple] = []
             for doc, body in zip(batch.column(0).to_pylist(), batch.column(1)):
-                for m in _SENTENCE.finditer(body.as_py() or "") if model.weights else ():
-                    p = -math.expm1(-scorer.sentence(m[0]))
-                    if p >= SENTENCE_THRESHOLD:
-                        found.append((doc, m.start(), m.end(), p))
+                found += [(doc, *sentence) for sentence in offending(scorer, body.as_py())[1]]
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64()]
             columns = list(zip(*found)) or [()] * 4
             yield pa.RecordBatch.from_arrays(

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillmarts.llm import (
-    disclosure, exact_dedup, html_text, jaccard_join, mixing, packing, sharding, token_output, topk, toxicity,
+    disclosure, exact_dedup, html_text, jaccard_join, merkle, mixing, packing, sharding, token_output, topk, toxicity,
 )
 from tillmarts.llm.common import LOWER, UPPER, table
 from tillmarts.storage import fresh_path
@@ -152,15 +152,89 @@ OP10_SQL = (
     + " SELECT doc_id, size, source_size, target, size * copies AS taken FROM mixed"
 )
 
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    tampers = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    changed = F.when(tampers, F.translate("text", "\n", "")).otherwise(F.col("text"))
+    return merkle.manifest(table(spark, folder, "documents"), changed)
+
+
+#: CRC-32 in SQL: the table of its 256 steps, and a fold of a text's bytes over it.
+CRC_TABLE = """
+crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(range(8),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS steps
+)"""
+
+
+def crc32_sql(text: str) -> str:
+    """The unsigned CRC-32 of a text, where ``crc`` is joined."""
+    octets = f"list_transform(range(octet_length(encode({text}))), lambda i: CAST('0x' || hex(encode({text})[i + 1:i + 1]) AS BIGINT))"
+    return f"xor(list_reduce({octets}, lambda c, b: xor(c >> 8, crc.steps[1 + xor(c & 255, b)]), 4294967295), 4294967295)"
+
+
+def _leaf_sql(text: str) -> str:
+    values = ["CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text]
+    return "sha256(" + " || ".join(f"coalesce(octet_length(encode({v})) || ':' || {v}, '-')" for v in values) + ")"
+
+
+def _tree_sql(name: str, leaves: str) -> str:
+    """All nodes of trees, from the leaves (tree, pos, n, digest) up."""
+    return f"""
+{name} AS (
+  SELECT 0 AS level, tree, pos, n, digest FROM {leaves}
+  UNION ALL
+  SELECT level + 1, tree, pos // 3, (n + 2) // 3, sha256(string_agg(digest, '' ORDER BY pos))
+  FROM {name} WHERE n > 1 GROUP BY level, tree, pos // 3, n
+)"""
+
+
+def _fold_sql(name: str, tree: str, start: str) -> str:
+    """Rows (row, tree, pos, n, folded, proof) folded level by level."""
+    return f"""
+{name} AS (
+  SELECT 0 AS level, "row", tree, pos, n, folded, proof FROM {start}
+  UNION ALL
+  SELECT f.level + 1, f."row", f.tree, f.pos // 3, (f.n + 2) // 3,
+    sha256(string_agg(CASE WHEN t.pos = f.pos THEN f.folded ELSE t.digest END, '' ORDER BY t.pos)),
+    f.proof || coalesce(string_agg(t.digest, '' ORDER BY t.pos) FILTER (WHERE t.pos <> f.pos), '')
+  FROM {name} f JOIN {tree} t ON t.level = f.level AND t.tree = f.tree AND t.pos // 3 = f.pos // 3
+  WHERE f.n > 1 GROUP BY f.level, f."row", f.tree, f.pos, f.n, f.folded, f.proof
+)"""
+
+
+OP11_SQL = f"""
+WITH RECURSIVE {CRC_TABLE}, rows_in AS (
+  SELECT row_number() OVER () AS "row", doc_id, coalesce(':' || source, '-') AS tree, {_leaf_sql("text")} AS leaf,
+    CASE WHEN {crc32_sql("CAST(doc_id AS VARCHAR)")} % 2 = 0
+      THEN {_leaf_sql("replace(text, chr(10), '')")} ELSE {_leaf_sql("text")} END AS changed
+  FROM documents, crc
+), leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf, "row") - 1 AS pos,
+    count(*) OVER (PARTITION BY tree) AS n, leaf AS digest, changed AS folded, '' AS proof
+  FROM rows_in
+), {_tree_sql("nodes", "leaves")}, {_fold_sql("folds", "nodes", "leaves")}, subroots AS (
+  SELECT 'top' AS tree, tree AS source, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS n, digest
+  FROM nodes WHERE n = 1
+), {_tree_sql("top_nodes", "subroots")}, starts AS (
+  SELECT f."row", 'top' AS tree, s.pos, s.n, f.folded, f.proof
+  FROM folds f JOIN subroots s ON s.source = f.tree WHERE f.n = 1
+), {_fold_sql("top_folds", "top_nodes", "starts")}
+SELECT l.doc_id, l.leaf, s.digest AS subroot, r.digest AS root, sha256(t.proof) AS proof_sha256,
+  t.folded AS folded_root, t.folded = r.digest AS verified
+FROM leaves l JOIN top_folds t ON t."row" = l."row" AND t.n = 1
+JOIN subroots s ON s.source = l.tree JOIN top_nodes r ON r.n = 1
+"""
+
 QUERIES: dict[str, Run] = {
     run.__name__: run
     for run in (
         op1_toxicity, op2_exact_dedup, op3_topk_search, op4_html_text, op5_sharding, op6_token_output,
-        op7_disclosure, op8_packing, op9_jaccard_join, op10_mixing,
+        op7_disclosure, op8_packing, op9_jaccard_join, op10_mixing, op11_merkle_manifest,
     )
 }
 SQL: dict[str, str] = {
     "op2_exact_dedup": OP2_SQL,
     "op3_topk_search": OP3_SQL,
     "op10_mixing": OP10_SQL,
+    "op11_merkle_manifest": OP11_SQL,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 import zipfile
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from pathlib import Path
 
 import pyarrow as pa
@@ -68,6 +68,31 @@ def map_batches(
     return df.mapInArrow(function, schema)
 
 
+def whole_groups(
+    batches: Iterator[pa.RecordBatch], keys: Sequence[str], least: int
+) -> Iterator[pa.Table]:
+    """Rows that come sorted by ``keys``, in tables that end where a group ends.
+
+    A table has ``least`` rows, or up to one group more; the last one may have fewer.
+    """
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            size += batch.num_rows
+        if size >= least:
+            rows = pa.Table.from_batches(held)
+            at, last = size, [rows.column(k)[-1].as_py() for k in keys]
+            while at and [rows.column(k)[at - 1].as_py() for k in keys] == last:
+                at -= 1
+            if at:
+                yield rows.slice(0, at).combine_chunks()
+            held, size = rows.slice(at).to_batches(), size - at
+    if size:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
 def fresh_name(df: DataFrame, stem: str) -> str:
     """A column name that ``df`` does not have yet."""
     taken = {c.lower() for c in df.columns}

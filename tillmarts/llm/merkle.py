@@ -32,7 +32,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tillmarts.llm import sha_states as sha
-from tillmarts.llm.common import map_batches
+from tillmarts.llm.common import map_batches, whole_groups
 from tillmarts.storage import materialize
 
 #: Children of a node, levels of a storey, nodes of its blocks.
@@ -136,33 +136,6 @@ def fold(rows: np.ndarray, steps: np.ndarray, folded: np.ndarray, proof: np.ndar
     folded[rows] = sha.finish(state, steps["width"])
 
 
-def whole_blocks(batches: Iterator[pa.RecordBatch], keys: Sequence[str]) -> Iterator[pa.Table]:
-    """The rows, which come in the order of ``keys``, in tables that end where a block ends."""
-    held: list[pa.RecordBatch] = []
-    size = 0
-
-    def cut(table: pa.Table) -> int:
-        last = {k: table.column(k)[-1].as_py() for k in keys}
-        at = table.num_rows
-        while at and all(table.column(k)[at - 1].as_py() == v for k, v in last.items()):
-            at -= 1  # at most a block's rows
-        return at
-
-    for batch in batches:
-        if batch.num_rows:
-            held.append(batch)
-            size += batch.num_rows
-        if size >= ROWS:
-            table = pa.Table.from_batches(held)
-            at = cut(table)
-            if at:
-                yield table.slice(0, at).combine_chunks()
-            held = table.slice(at).to_batches()
-            size = table.num_rows - at
-    if size:
-        yield pa.Table.from_batches(held).combine_chunks()
-
-
 def _climbed(table: pa.Table) -> tuple[np.ndarray, np.ndarray, list]:
     """First rows of the blocks, their roots, and the paths of the rows."""
     pos, n = table.column("pos").to_numpy(), table.column("n").to_numpy()
@@ -183,7 +156,7 @@ _STOREY = "tree string, pos long, n long, digest binary, path binary"
 
 
 def _storey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for table in whole_blocks(batches, ["tree", "block"]):
+    for table in whole_groups(batches, ["tree", "block"], ROWS):
         heads, roots, path = _climbed(table)
         blobs = [b""] * table.num_rows
         for rows, steps in path:
@@ -232,7 +205,7 @@ _FOLDED = (
 
 def _fold_leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Leaves folded to the roots of their blocks (rows with ``folded``), and these roots."""
-    for table in whole_blocks(batches, ["tree", "block"]):
+    for table in whole_groups(batches, ["tree", "block"], ROWS):
         heads, roots, path = _climbed(table)
         count = table.num_rows
         folded = sha.from_bytes(b"".join(table.column("changed").to_pylist())).copy()

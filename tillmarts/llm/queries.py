@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillmarts.llm import (
-    disclosure, exact_dedup, html_text, jaccard_join, merkle, mixing, packing, sharding, token_output, topk, toxicity,
+    disclosure, exact_dedup, html_text, jaccard_join, merkle, mixing, packing, sharding, spelling,
+    token_output, topk, toxicity,
 )
 from tillmarts.llm.common import LOWER, UPPER, table
 from tillmarts.storage import fresh_path
@@ -225,11 +226,58 @@ FROM leaves l JOIN top_folds t ON t."row" = l."row" AND t.n = 1
 JOIN subroots s ON s.source = l.tree JOIN top_nodes r ON r.n = 1
 """
 
+def _misspelt(key, run):
+    """One run in 199 without one of its code points, chosen by the CRC-32 of key and run."""
+    h = F.crc32(F.concat(key.cast("string"), F.lit(":"), run).cast("binary"))
+    at = (h % F.length(run)).cast("int")
+    return F.when(h % 199 == 0, F.concat(F.substring(run, F.lit(1), at), F.substring(run, at + 2, F.length(run)))).otherwise(run)
+
+
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(spelling.word_counts(table(spark, folder, "documents"), change=_misspelt))
+
+
+OP13_SQL = f"""
+WITH RECURSIVE {CRC_TABLE}, found AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]{{6,}}')), '{UPPER}', '{LOWER}') AS run FROM documents
+), runs AS (
+  SELECT doc_id, run, count(*) AS times FROM found GROUP BY ALL
+), hashed AS (
+  SELECT run, times, {crc32_sql("(CAST(doc_id AS VARCHAR) || ':' || run)")} AS h FROM runs, crc
+), spelt AS (
+  SELECT times, CASE WHEN h % 199 = 0 THEN substr(run, 1, CAST(h % length(run) AS BIGINT)) || substr(run, CAST(h % length(run) AS BIGINT) + 2)
+    ELSE run END AS word FROM hashed
+), words AS (
+  SELECT word, CAST(sum(times) AS BIGINT) AS n FROM spelt WHERE length(word) >= 6 GROUP BY word HAVING sum(times) >= 5
+), holes AS (
+  SELECT word, i, substr(word, 1, i - 1) AS a, substr(word, i + 1) AS b
+  FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words)
+), pairs AS (
+  SELECT x.word, y.word AS near FROM holes x JOIN holes y ON x.i = y.i AND x.a = y.a AND x.b = y.b AND x.word <> y.word
+  UNION SELECT h.word, w.word FROM holes h JOIN words w ON w.word = h.a || h.b
+  UNION SELECT w.word, h.word FROM holes h JOIN words w ON w.word = h.a || h.b
+), ranked AS (
+  SELECT p.word, p.near, w.n AS near_n, count(*) OVER (PARTITION BY p.word) AS n_near,
+    row_number() OVER (PARTITION BY p.word ORDER BY w.n DESC, p.near) AS place
+  FROM pairs p JOIN words w ON w.word = p.near
+), judged AS (
+  SELECT w.word, w.n, coalesce(r.n_near, 0) AS n_near, CASE WHEN r.near_n >= 5 * w.n THEN r.near END AS form,
+    CASE WHEN r.near_n >= 5 * w.n THEN r.near_n END AS form_n
+  FROM words w LEFT JOIN ranked r ON r.word = w.word AND r.place = 1
+), chain AS (
+  SELECT word, word AS at FROM judged
+  UNION ALL SELECT c.word, j.form FROM chain c JOIN judged j ON j.word = c.at WHERE j.form IS NOT NULL
+)
+SELECT j.word, j.form, c.at AS root, j.n, j.n_near, j.form_n
+FROM judged j JOIN chain c ON c.word = j.word JOIN judged e ON e.word = c.at AND e.form IS NULL
+"""
+
 QUERIES: dict[str, Run] = {
     run.__name__: run
     for run in (
         op1_toxicity, op2_exact_dedup, op3_topk_search, op4_html_text, op5_sharding, op6_token_output,
         op7_disclosure, op8_packing, op9_jaccard_join, op10_mixing, op11_merkle_manifest,
+        op13_spelling_variants,
     )
 }
 SQL: dict[str, str] = {
@@ -237,4 +285,5 @@ SQL: dict[str, str] = {
     "op3_topk_search": OP3_SQL,
     "op10_mixing": OP10_SQL,
     "op11_merkle_manifest": OP11_SQL,
+    "op13_spelling_variants": OP13_SQL,
 }

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tillmarts.llm import (
     disclosure, exact_dedup, html_text, jaccard_join, merkle, mixing, packing, sharding, spelling,
-    token_output, topk, toxicity,
+    suffix_dedup, token_output, topk, toxicity,
 )
 from tillmarts.llm.common import LOWER, UPPER, table
 from tillmarts.storage import fresh_path
@@ -226,6 +226,40 @@ FROM leaves l JOIN top_folds t ON t."row" = l."row" AND t.n = 1
 JOIN subroots s ON s.source = l.tree JOIN top_nodes r ON r.n = 1
 """
 
+def op12_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.report(table(spark, folder, "documents"))
+
+
+OP12_SQL = """
+WITH texts AS (
+  SELECT row_number() OVER () AS "row", doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n FROM documents
+), windows AS (
+  SELECT "row", doc_id, i, substr(h, 2 * i + 1, 100) AS w FROM (
+    SELECT "row", doc_id, h, unnest(range(n - 49)) AS i FROM texts WHERE n >= 50 AND doc_id IS NOT NULL)
+), least AS (
+  SELECT w, min(doc_id) AS doc_id FROM windows GROUP BY w HAVING min(doc_id) < max(doc_id)
+), covered AS (
+  SELECT x."row", x.i AS a, x.i + 50 AS b FROM windows x JOIN least l ON l.w = x.w AND l.doc_id < x.doc_id
+), opened AS (
+  SELECT *, CASE WHEN a <= max(b) OVER (PARTITION BY "row" ORDER BY a ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+    THEN 0 ELSE 1 END AS opens FROM covered
+), numbered AS (
+  SELECT *, sum(opens) OVER (PARTITION BY "row" ORDER BY a) AS span FROM opened
+), spans AS (
+  SELECT "row", min(a) AS a, max(b) AS b FROM numbered GROUP BY "row", span
+), gaps AS (
+  SELECT s."row", s.a, s.b, coalesce(lag(s.b) OVER (PARTITION BY s."row" ORDER BY s.a), 0) AS kept_from FROM spans s
+), cut AS (
+  SELECT g."row", count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS last,
+    string_agg(substr(t.h, 2 * kept_from + 1, 2 * (a - kept_from)), '' ORDER BY a) AS kept
+  FROM gaps g JOIN texts t ON t."row" = g."row" GROUP BY g."row"
+)
+SELECT t.doc_id, t.n AS n_bytes, CAST(coalesce(c.n_removed, 0) AS BIGINT) AS n_removed, coalesce(c.n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(c.kept || substr(t.h, 2 * c.last + 1), t.h))) AS kept_sha256
+FROM texts t LEFT JOIN cut c ON c."row" = t."row"
+"""
+
+
 def _misspelt(key, run):
     """One run in 199 without one of its code points, chosen by the CRC-32 of key and run."""
     h = F.crc32(F.concat(key.cast("string"), F.lit(":"), run).cast("binary"))
@@ -277,7 +311,7 @@ QUERIES: dict[str, Run] = {
     for run in (
         op1_toxicity, op2_exact_dedup, op3_topk_search, op4_html_text, op5_sharding, op6_token_output,
         op7_disclosure, op8_packing, op9_jaccard_join, op10_mixing, op11_merkle_manifest,
-        op13_spelling_variants,
+        op12_suffix_dedup, op13_spelling_variants,
     )
 }
 SQL: dict[str, str] = {
@@ -285,5 +319,6 @@ SQL: dict[str, str] = {
     "op3_topk_search": OP3_SQL,
     "op10_mixing": OP10_SQL,
     "op11_merkle_manifest": OP11_SQL,
+    "op12_suffix_dedup": OP12_SQL,
     "op13_spelling_variants": OP13_SQL,
 }

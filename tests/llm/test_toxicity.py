@@ -1,4 +1,6 @@
 import random
+import re
+import time
 
 import numpy as np
 import pytest
@@ -48,7 +50,7 @@ def test_other_forms_of_a_stem_count(model):
 def test_quick_path_equals_the_sum_of_sentences(words, model):
     text = ". ".join(words[:40])
     scorer = T.Scorer(model)
-    total = sum(map(scorer.sentence, T._SENTENCE.findall(text)))
+    total = sum(scorer.sentence(m[0]) for m in T.sentences(text))
     assert scorer.document(text) == pytest.approx(-np.expm1(-total))
 
 
@@ -94,10 +96,38 @@ def test_every_toxic_document_has_a_located_sentence(documents):
     model = T.Model(-4.0, weights)
     text = "One mildfoo here. Then mildbar there. And mildbar again."
     scorer = T.Scorer(model)
-    parts = [-np.expm1(-scorer.sentence(s)) for s in T._SENTENCE.findall(text)]
+    parts = [-np.expm1(-scorer.sentence(m[0])) for m in T.sentences(text)]
     assert max(parts) < T.SENTENCE_THRESHOLD and scorer.document(text) >= T.THRESHOLD
     docs = documents([(1, text, "en", "a"), (2, "One mildfoo here.", "en", "a"), (3, None, "en", "a")])
     found = T.locate(docs, model).collect()
     assert [(r.doc_id, text[r.begin : r.end].strip()) for r in found] == [(1, "Then mildbar there")]
     rows = {r.doc_id: r for r in T.score_and_locate(docs, model).collect()}
     assert rows[1].located == f"{found[0].begin}:{found[0].end}" and rows[2].located == rows[3].located == ""
+
+
+def test_sentences_have_a_word_between_their_ends():
+    rng = random.Random(3)
+    before = re.compile(r"[^\w.!?\n]*\w[^.!?\n]*")  # what a sentence is, in one pattern
+    for _ in range(300):
+        text = "".join(rng.choice("ab é_-= .!?\n\t漢") for _ in range(rng.randint(0, 40)))
+        assert [(m.start(), m.end()) for m in T.sentences(text)] == [m.span() for m in before.finditer(text)]
+
+
+@pytest.mark.parametrize("filler", ["-", "= ", " ", "\t", "–", "-.", "a", "a "])
+def test_long_texts_without_words_take_linear_time(model, filler):
+    text = "Start here. " + filler * (1_000_000 // len(filler)) + " vilefoo end"
+    started = time.process_time()
+    score, found = T.offending(T.Scorer(model), text)
+    assert score >= T.THRESHOLD and found and text[slice(*found[-1][:2])].rstrip().endswith("end")
+    T.fit([text, "plain words"] * 2, np.array([1, 0, 1, 0]))
+    assert time.process_time() - started < 10
+
+
+def test_the_sample_is_bounded_in_bytes(spark, documents, words):
+    texts, labels = corpus(words, 200, 3)
+    docs = documents([(i, t, "en", "a") for i, t in enumerate(texts)] + [(500, "vilefoo " * 50_000, "en", "a")])
+    known = spark.createDataFrame([(i, int(y)) for i, y in enumerate(labels)] + [(500, 0)], "doc_id long, toxic int")
+    whole = T.train(docs, known, sample_bytes=8 * sum(map(len, texts)))
+    assert whole == T.train(docs.filter("doc_id < 500"), known)  # the long text is passed over
+    assert T.train(docs, known, sample_bytes=20_000) != whole
+    assert T.train(docs, known, sample_bytes=10) == T.Model(0.0, {})

@@ -10,7 +10,8 @@ their stem has taught. Weights are never negative: words can make a sentence off
 excuse another, so one insult in a long sentence is enough. Language, source, key and label are never inputs of a score.
 
 The model is fitted in one task on a sample of at most ``SAMPLE`` labelled rows (those with the
-smallest hash of their key, so the sample is the same in every run); scoring reads every text.
+smallest hash of their key, so the sample is the same in every run) with at most ``SAMPLE_BYTES``
+of text together, of which no text has more than an eighth; scoring reads every text.
 
 Defined results: NULL, empty and wordless texts score 0; very long texts are read whole; rows with
 a NULL label or key teach nothing; if a key has several labels, toxic wins; without any usable label
@@ -22,21 +23,23 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from tillmarts.llm.common import fresh_name, map_batches, ship_code
+from tillmarts.storage import materialize
 
-#: Most labelled rows the model is fitted on.
-SAMPLE = 12_000
+#: Most labelled rows, and most bytes of their texts, the model is fitted on.
+SAMPLE, SAMPLE_BYTES = 12_000, 32 << 20
 #: From this score on a document counts as toxic.
 THRESHOLD = 0.3
 #: From this score on a sentence is reported.
@@ -47,11 +50,15 @@ ROUNDS, RATE, SHRINK = 150, 0.15, 1e-5
 #: Words a task remembers the weight of.
 MEMO_WORDS = 100_000
 
-#: A sentence has at least one word character.
-_SENTENCE = re.compile(r"[^\w.!?\n]*\w[^.!?\n]*")
+_PIECE = re.compile(r"[^.!?\n]+")
 _WORD = re.compile(r"\w+")
 
 
+def sentences(text: str) -> Iterator[re.Match]:
+    """What stands between ends of sentences and has at least one word character."""
+    return (m for m in _PIECE.finditer(text) if _WORD.search(text, m.start(), m.end()))
+
+
 def word_features(word: str) -> list[str]:
     return [word + "$", *[word[:n] for n in PREFIXES if n <= len(word)]]
 
@@ -92,40 +99,44 @@ class Scorer:
     def document(self, text: str | None) -> float:
         if not text or not self.words.features:
             return 0.0
-        sentences = _SENTENCE.findall(text)
+        found = sentences(text)
         if any(map(self.words.__getitem__, set(_WORD.findall(text.lower())))):
-            total = sum(map(self.sentence, sentences))
+            total = sum(self.sentence(m[0]) for m in found)
         else:
-            total = len(sentences) * _softplus(self.bias)
+            total = sum(1 for _ in found) * _softplus(self.bias)
         return -math.expm1(-total)
 
 
-def fit(texts: list[str | None], labels: np.ndarray) -> Model:
-    """Weights that make the noisy-or of the sentences agree with the documents' labels."""
-    labels = np.asarray(labels, np.float64)
+def fit(texts: Iterable[str | None], labels: Sequence[int] | np.ndarray) -> Model:
+    """Weights that make the noisy-or of the sentences agree with the documents' labels.
+
+    Texts are read once and not held: what stays of them is four bytes per different word of a
+    sentence. Labels are read after the texts, so both may come from one iterator.
+    """
     vocabulary: dict[str, int] = {}
-    word_at: list[np.ndarray] = []
-    sentence_sizes: list[int] = []
-    sentence_counts = np.zeros(len(texts), np.int64)
+    places, sentence_sizes, doc_at, documents = array("i"), array("i"), array("i"), array("i")
     for d, text in enumerate(texts):
-        for sentence in _SENTENCE.findall(text or ""):
-            words = set(_WORD.findall(sentence.lower()))
+        met: set[int] = set()
+        for sentence in sentences(text or ""):
+            words = set(_WORD.findall(sentence[0].lower()))
             if words:
                 ids = [vocabulary.setdefault(w, len(vocabulary)) for w in sorted(words)]
-                word_at.append(np.array(ids, np.int32))
+                places.extend(ids)
                 sentence_sizes.append(len(ids))
-                sentence_counts[d] += 1
-    if not word_at or labels.min() == labels.max():
+                doc_at.append(d)
+                met.update(ids)
+        documents.extend([0] * (len(vocabulary) - len(documents)))
+        for word in met:
+            documents[word] += 1
+    labels = np.asarray(labels, np.float64)
+    if not places or labels.min() == labels.max():
         return Model(0.0, {})
-    word_at = np.concatenate(word_at)
-    sentence_of = np.repeat(np.arange(len(sentence_sizes)), sentence_sizes)
-    doc_of = np.repeat(np.arange(len(texts)), sentence_counts)
+    word_at, doc_of = np.frombuffer(places, np.int32), np.frombuffer(doc_at, np.int32)
+    sentence_of = np.repeat(np.arange(len(doc_of), dtype=np.int32), np.frombuffer(sentence_sizes, np.int32))
 
     # Features in at least so many documents; words point to theirs.
-    in_documents = np.unique(doc_of[sentence_of] * len(vocabulary) + word_at) % len(vocabulary)
-    documents = np.bincount(in_documents, minlength=len(vocabulary))
     counts: Counter[str] = Counter()
-    for word, n in zip(vocabulary, documents.tolist()):
+    for word, n in zip(vocabulary, documents):
         for feature in word_features(word):
             counts[feature] += n
     features = {f: i for i, f in enumerate(sorted(f for f, n in counts.items() if n >= LEAST_DOCUMENTS))}
@@ -135,7 +146,7 @@ def fit(texts: list[str | None], labels: np.ndarray) -> Model:
     of_word, of_feature = np.array(pairs, np.int64).reshape(-1, 2).T
 
     prior = labels.mean()
-    per_sentence = -math.log1p(-prior) * len(texts) / len(doc_of)
+    per_sentence = -math.log1p(-prior) * len(labels) / len(doc_of)
     bias = math.log(math.expm1(per_sentence)) if per_sentence < 30 else per_sentence
     theta = np.zeros(len(features) + 1)
     theta[-1] = bias
@@ -143,13 +154,13 @@ def fit(texts: list[str | None], labels: np.ndarray) -> Model:
     for step in range(1, ROUNDS + 1):
         word_weight = np.bincount(of_word, theta[of_feature], len(vocabulary))
         z = theta[-1] + np.bincount(sentence_of, word_weight[word_at], len(doc_of))
-        total = np.bincount(doc_of, np.logaddexp(0, z), len(texts))
+        total = np.bincount(doc_of, np.logaddexp(0, z), len(labels))
         # d(-log likelihood)/d(total): 1 for clean documents, 1 - 1 / (1 - exp(-total)) for toxic ones.
         slope = 1 - labels / np.maximum(-np.expm1(-total), 1e-6)
         by_sentence = slope[doc_of] / (1 + np.exp(-np.clip(z, -500, 500)))
         by_word = np.bincount(word_at, by_sentence[sentence_of], len(vocabulary))
         gradient = np.append(np.bincount(of_feature, by_word[of_word], len(features)), by_sentence.sum())
-        gradient = gradient / len(texts)
+        gradient = gradient / len(labels)
         gradient[:-1] += SHRINK
         mean = 0.9 * mean + 0.1 * gradient
         square = 0.99 * square + 0.01 * gradient**2
@@ -159,18 +170,32 @@ def fit(texts: list[str | None], labels: np.ndarray) -> Model:
     return Model(float(theta[-1]), kept)
 
 
-def _fit_rows(sample: pd.DataFrame) -> pd.DataFrame:
-    sample = sample.sort_values("doc_id")
-    model = fit(sample["text"].tolist(), sample["toxic"].to_numpy())
+def _fit_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    labels: list[int] = []
+
+    def texts() -> Iterator[str | None]:
+        for batch in batches:
+            labels.extend(batch.column(1).to_pylist())
+            for text in batch.column(0):
+                yield text.as_py()
+
+    model = fit(texts(), labels)
     names = [None, *model.weights]
-    return pd.DataFrame({"feature": names, "weight": [model.bias, *model.weights.values()]})
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(names, pa.string()), pa.array([model.bias, *model.weights.values()], pa.float64())], ["feature", "weight"]
+    )
 
 
 def train(
-    docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", sample: int = SAMPLE
+    docs: DataFrame,
+    labels: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    sample: int = SAMPLE,
+    sample_bytes: int = SAMPLE_BYTES,
 ) -> Model:
-    """Fit on at most ``sample`` rows of ``labels`` (key, toxic); those that ``docs`` lacks teach nothing."""
-    ship_code(docs.sparkSession)
+    """Fit on at most ``sample`` rows of ``labels`` (key, toxic) with at most ``sample_bytes`` of text, no
+    text above an eighth of that; labels whose rows ``docs`` lacks teach nothing."""
     known = labels.filter(F.col(key).isNotNull() & F.col("toxic").isNotNull())
     known = known.groupBy(F.col(key).cast("long").alias("_key")).agg(F.max("toxic").cast("int").alias("toxic"))
     chosen = known.orderBy(F.xxhash64("_key"), "_key").limit(sample)
@@ -178,13 +203,16 @@ def train(
     rows = docs.select(F.col(key).cast("long").alias("_key"), F.col(text).alias("text")).join(
         F.broadcast(chosen), "_key"
     )
+    # Too long a text is left out before it travels.
+    rows = rows.filter(F.coalesce(F.octet_length("text"), F.lit(0)) <= sample_bytes // 8)
     once = rows.groupBy("_key").agg(F.max("text").alias("text"), F.max("toxic").alias("toxic"))
-    fitted = (
-        once.select(F.col("_key").alias("doc_id"), "text", "toxic", F.lit(0).alias("_all"))
-        .groupBy("_all")
-        .applyInPandas(_fit_rows, "feature string, weight double")
-        .collect()  # the model: as many rows as the sample has features
-    )
+    once = materialize(once.withColumn("_bytes", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")), "labelled")
+    # At most ``sample`` rows of a key and a size.
+    order = W.orderBy(F.xxhash64("_key"), "_key")
+    within = once.select("_key", F.sum("_bytes").over(order).alias("_sum")).filter(F.col("_sum") <= sample_bytes)
+    fitted_on = once.join(F.broadcast(within.select("_key")), "_key").select("_key", "text", "toxic")
+    fitted_on = fitted_on.repartition(1).sortWithinPartitions("_key").select("text", "toxic")
+    fitted = map_batches(fitted_on, "feature string, weight double", _fit_rows).collect()  # the model
     bias = next((row.weight for row in fitted if row.feature is None), 0.0)
     return Model(bias, {row.feature: row.weight for row in fitted if row.feature is not None})
 
@@ -213,7 +241,7 @@ def offending(scorer: Scorer, text: str | None) -> tuple[float, list[tuple[int,
     whole = scorer.document(text)
     if whole < min(THRESHOLD, SENTENCE_THRESHOLD):  # no sentence scores more than its document
         return whole, []
-    scored = [(m.start(), m.end(), -math.expm1(-scorer.sentence(m[0]))) for m in _SENTENCE.finditer(text)]
+    scored = [(m.start(), m.end(), -math.expm1(-scorer.sentence(m[0]))) for m in sentences(text)]
     found = [x for x in scored if x[2] >= SENTENCE_THRESHOLD]
     if not found and whole >= THRESHOLD:
         found = [max(scored, key=lambda x: x[2])]

@@ -101,8 +101,9 @@ def test_runs_cover_every_window_once_and_anchors_depend_on_the_window_alone(mon
     assert len(parts) > len(whole)
     for runs in (whole, parts):
         anchor_of, count = {}, 0
-        for doc, start, windows, anchor in runs:
-            for d, a, n, h in zip(doc.tolist(), start.tolist(), windows.tolist(), anchor.tolist()):
+        for part in runs:
+            for d, a, i, n, h in zip(*(x.tolist() for x in (part.doc, part.start, part.at, part.count, part.anchor))):
+                assert part.data[i : i + n + 49] == texts[d][a : a + n + 49]
                 for p in range(a, a + n):
                     assert anchor_of.setdefault(texts[d][p : p + 50], h) == h
                     assert n <= S.SPAN
@@ -111,7 +112,7 @@ def test_runs_cover_every_window_once_and_anchors_depend_on_the_window_alone(mon
 
 
 def pieces_of(keys, texts, ranges, extra=0):
-    anchors = np.unique(np.concatenate([a for *_, a in S.window_runs(texts)]))
+    anchors = np.unique(np.concatenate([runs.anchor for runs in S.window_runs(texts)]))
     return S.Pieces(keys, texts, anchors | np.uint64(S._SEVERAL | extra), ranges)
 
 

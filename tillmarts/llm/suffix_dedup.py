@@ -14,7 +14,8 @@ suffixes of the pieces are first put into buckets by their first ``FIRST`` bytes
 pointer to its bucket. A bucket is refined by sorting its suffixes on the pointers found a
 bucket's depth further on, which doubles the depth; the refined pointers serve the next round.
 Buckets of one suffix are final and are never sorted again. Buckets of depth ``LENGTH`` are the equal windows,
-and the smallest key in a bucket is what each of its windows is told.
+and the smallest key in a bucket is what each of its windows is told. A piece whose anchor no other
+piece has needs no sorting.
 
 An anchor with more than ``HOT`` occurrences is not sent to one task: its windows are dealt one by one,
 by their own bytes. Texts are written once, bucketed by chunk, and read three times without being
@@ -32,6 +33,7 @@ import hashlib
 import uuid
 import zlib
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -96,8 +98,29 @@ def _sliding_minima(values: np.ndarray, span: int) -> np.ndarray:
     return np.minimum(values[: len(values) - rest], values[rest:]) if rest else values
 
 
-def window_runs(texts: Sequence[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """All windows of ``texts`` as runs with one anchor: text, first byte, windows and anchor of each."""
+@dataclass
+class Runs:
+    """Windows of ``data`` as runs with one anchor: text, first byte there and in ``data``, windows, anchor."""
+
+    data: bytes
+    doc: np.ndarray
+    start: np.ndarray
+    at: np.ndarray
+    count: np.ndarray
+    anchor: np.ndarray
+
+    def some(self, which: np.ndarray) -> Runs:
+        return Runs(self.data, *(x[which] for x in (self.doc, self.start, self.at, self.count, self.anchor)))
+
+    def one_by_one(self) -> Runs:
+        """Every window as a run of its own."""
+        inside = np.arange(self.count.sum()) - np.repeat(np.cumsum(self.count) - self.count, self.count)
+        doc, start, at, anchor = (np.repeat(x, self.count) for x in (self.doc, self.start, self.at, self.anchor))
+        return Runs(self.data, doc, start + inside, at + inside, np.ones(len(inside), np.int64), anchor)
+
+
+def window_runs(texts: Sequence[bytes]) -> Iterator[Runs]:
+    """All windows of ``texts``."""
     held: list[tuple[int, int, bytes]] = []
     size = 0
     for number, text in enumerate(texts):
@@ -112,8 +135,9 @@ def window_runs(texts: Sequence[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray
         yield _runs_of(held)
 
 
-def _runs_of(parts: list[tuple[int, int, bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    data = np.frombuffer(b"".join(p for _, _, p in parts), np.uint8)
+def _runs_of(parts: list[tuple[int, int, bytes]]) -> Runs:
+    joined = b"".join(p for _, _, p in parts)
+    data = np.frombuffer(joined, np.uint8)
     sizes = np.array([len(p) for _, _, p in parts])
     begins = np.cumsum(sizes) - sizes
     hashes = gram_hashes(data)
@@ -130,7 +154,7 @@ def _runs_of(parts: list[tuple[int, int, bytes]]) -> tuple[np.ndarray, np.ndarra
     part = owner[heads]
     number = np.array([n for n, _, _ in parts])[part]
     start = np.array([s for _, s, _ in parts])[part] + heads - begins[part]
-    return number, start, counts, hashes[anchors[heads]] & ~_NOTE
+    return Runs(joined, number, start, heads, counts, hashes[anchors[heads]] & ~_NOTE)
 
 
 # Step 1: anchors that stand in several documents
@@ -141,11 +165,11 @@ _SHARED = "chunk long, anchors binary"
 
 def _noted(anchors: np.ndarray, docs: np.ndarray) -> np.ndarray:
     """Each different anchor once, with its note."""
-    order = np.argsort(anchors, kind="stable")
+    order = np.argsort(anchors)
     anchors, docs = anchors[order], docs[order]
     heads = np.nonzero(np.concatenate([[True], anchors[1:] != anchors[:-1]])[: len(anchors)])[0]
     ends = np.append(heads[1:], len(anchors))
-    several = docs[heads] != docs[ends - 1]
+    several = np.minimum.reduceat(docs, heads) < np.maximum.reduceat(docs, heads)
     note = np.ceil(np.log2(ends - heads)).astype(np.uint64) | np.where(several, _SEVERAL, 0).astype(np.uint64)
     return anchors[heads] | note
 
@@ -153,7 +177,7 @@ def _noted(anchors: np.ndarray, docs: np.ndarray) -> np.ndarray:
 def _list_anchors(ranges: int):
     def run(chunk: pd.DataFrame) -> pd.DataFrame:
         texts = chunk["text"].tolist()
-        found = [_noted(a, d) for d, _, _, a in window_runs(texts)]
+        found = [_noted(runs.anchor, runs.doc) for runs in window_runs(texts)]
         if not found:
             return pd.DataFrame({"range": [], "chunk": [], "anchors": []})
         merged = np.concatenate(found)
@@ -205,70 +229,60 @@ _REPLIES = "chunk long, range int, replies binary"
 _REPLY = np.dtype([("piece", "<u4"), ("first", "u1"), ("count", "u1"), ("least", "<i8")])
 
 
+class _Numbers(dict):
+    """Numbers for values in the order in which they are first met."""
+
+    def __missing__(self, value: bytes) -> int:
+        number = self[value] = len(self)
+        return number
+
+
 class Pieces:
     """The pieces of a chunk with shared anchors: each text once, and where it occurs.
 
     The order follows from the chunk's rows and the shared anchors, so the task that cuts finds the
-    same pieces as the one that sent them.
+    same pieces as the one that sent them. A piece's text decides its anchor, so its route too.
     """
 
     def __init__(self, keys: Sequence[int], texts: Sequence[bytes], shared: np.ndarray, ranges: int):
-        self.number: dict[tuple, int] = {}  # (route, text) to the piece's number
-        self.of: list[np.ndarray] = []  # per occurrence: piece
-        self.docs: list[np.ndarray] = []
-        self.starts: list[np.ndarray] = []
+        numbers = _Numbers()
+        of, docs, starts, routes = ([np.empty(0, np.int64)] for _ in range(4))
         shared = np.sort(shared)
         plain = shared & ~_NOTE
         hot = (shared & np.uint64(0x7F)) >= np.uint64(HOT.bit_length() - 1)
-        for doc, start, count, anchor in window_runs(texts) if len(plain) else ():
-            at = np.minimum(np.searchsorted(plain, anchor), len(plain) - 1)
-            kept = plain[at] == anchor
-            doc, start, count, anchor, is_hot = doc[kept], start[kept], count[kept], anchor[kept], hot[at[kept]]
-            if is_hot.any():
-                doc, start, count, anchor, is_hot = (
-                    np.concatenate([x[~is_hot], y])
-                    for x, y in zip((doc, start, count, anchor, is_hot), self._one_by_one(doc, start, count, anchor, is_hot))
-                )
-            self._add(texts, doc, start, count, anchor, is_hot)
-        self.of, self.docs, self.starts = (
-            np.concatenate(x) if x else np.empty(0, np.int64) for x in (self.of, self.docs, self.starts)
-        )
-        size = len(self.number)
-        self.texts = [text for _, text in self.number]
-        self.pieces = np.zeros(size, _PIECE)
-        self.pieces["route"] = [route for route, _ in self.number]
-        self.pieces["size"] = [len(text) for text in self.texts]
-        self.range = (self.pieces["route"] % np.uint32(ranges)).astype(np.int64)
+        for runs in window_runs(texts) if len(plain) else ():
+            at = np.minimum(np.searchsorted(plain, runs.anchor), len(plain) - 1)
+            kept = plain[at] == runs.anchor
+            for part, one_by_one in ((runs.some(kept & ~hot[at]), False), (runs.some(kept & hot[at]), True)):
+                if not len(part.doc):
+                    continue
+                part = part.one_by_one() if one_by_one else part
+                data, ends = part.data, part.at + part.count + (LENGTH - 1)
+                found = [data[a:b] for a, b in zip(part.at.tolist(), ends.tolist())]
+                before = len(numbers)
+                number = np.fromiter(map(numbers.__getitem__, found), np.int64, len(found))
+                new = np.nonzero(number >= before)[0]
+                first = new[np.unique(number[new], return_index=True)[1]]
+                if one_by_one:
+                    routes.append(np.array([zlib.crc32(found[i]) for i in first.tolist()], np.int64))
+                else:
+                    routes.append((part.anchor[first] >> np.uint64(32)).astype(np.int64))
+                of.append(number)
+                docs.append(part.doc)
+                starts.append(part.start)
+        self.of, self.docs, self.starts, route = (np.concatenate(x) for x in (of, docs, starts, routes))
+        self.texts = list(numbers)
+        self.pieces = np.zeros(len(numbers), _PIECE)
+        self.pieces["route"] = route
+        self.pieces["size"] = np.fromiter(map(len, self.texts), np.int64, len(numbers))
+        self.range = route % ranges
         owners = np.asarray(keys, np.int64)[self.docs]
-        least, most = np.full(size, np.iinfo(np.int64).max), np.full(size, np.iinfo(np.int64).min)
-        np.minimum.at(least, self.of, owners)
-        np.maximum.at(most, self.of, owners)
-        self.pieces["least"], self.pieces["several"] = least, most > least
-
-    @staticmethod
-    def _one_by_one(doc, start, count, anchor, is_hot):
-        """The runs of hot anchors as runs of one window."""
-        doc, start, count, anchor = doc[is_hot], start[is_hot], count[is_hot], anchor[is_hot]
-        inside = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-        single = np.ones(len(inside), np.int64)
-        return np.repeat(doc, count), np.repeat(start, count) + inside, single, np.repeat(anchor, count), single > 0
-
-    def _add(self, texts, doc, start, count, anchor, is_hot) -> None:
-        number = self.number
-        ends = start + count + LENGTH - 1
-        routes = (anchor >> np.uint64(32)).tolist()
-        of = np.empty(len(doc), np.int64)
-        rows = zip(doc.tolist(), start.tolist(), ends.tolist(), routes, is_hot.tolist())
-        for i, (d, a, b, route, one) in enumerate(rows):
-            text = texts[d][a:b]
-            piece = (zlib.crc32(text) if one else route, text)
-            at = number.get(piece)
-            if at is None:
-                at = number[piece] = len(number)
-            of[i] = at
-        self.of.append(of)
-        self.docs.append(doc)
-        self.starts.append(start)
+        order = np.argsort(self.of, kind="stable")
+        heads = np.nonzero(np.diff(self.of[order], prepend=-1))[0]
+        if len(heads):
+            owners = owners[order]
+            least = np.minimum.reduceat(owners, heads)
+            self.pieces["least"], self.pieces["several"] = least, np.maximum.reduceat(owners, heads) > least
 
     def dealt(self) -> Iterator[tuple[int, np.ndarray]]:
         """Every range with its pieces, in the order in which they are sent."""
@@ -307,7 +321,7 @@ def refine(pointers: np.ndarray, places: np.ndarray, ahead: int) -> tuple[np.nda
     still share a bucket, in order, and the heads of their buckets.
     """
     own, further = pointers[places], pointers[places + ahead]
-    order = np.lexsort((further, own))
+    order = np.argsort(own * len(pointers) + further)  # below 2^63 for any batch that fits in memory
     places, own, further = places[order], own[order], further[order]
     new_own = np.concatenate([[True], own[1:] != own[:-1]])[: len(own)]
     new = new_own | np.concatenate([[True], further[1:] != further[:-1]])[: len(own)]
@@ -331,7 +345,7 @@ def equal_windows(data: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.n
     room = ends - np.arange(len(data))
     words = words_of(data)
     places = np.nonzero(room >= FIRST)[0]
-    order = np.argsort(words[places], kind="stable")
+    order = np.argsort(words[places])
     places = places[order]
     keys = words[places]
     heads = np.nonzero(np.concatenate([[True], keys[1:] != keys[:-1]])[: len(keys)])[0]
@@ -349,10 +363,9 @@ def equal_windows(data: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.n
     return (places, heads) if depth >= LENGTH else (places[:0], heads[:0])
 
 
-def least_keys(texts: list[bytes], least: np.ndarray) -> list[np.ndarray]:
-    """For each window of each piece the smallest key of any piece that has it."""
+def least_keys(texts: list[bytes], sizes: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Runs of windows with one smallest key among the pieces that have them: piece, first window, windows, key."""
     data = np.frombuffer(b"".join(texts), np.uint8)
-    sizes = np.array([len(t) for t in texts])
     keys = np.repeat(least, sizes)
     places, heads = equal_windows(data, sizes)
     if len(places):
@@ -360,7 +373,12 @@ def least_keys(texts: list[bytes], least: np.ndarray) -> list[np.ndarray]:
         keys = keys.copy()
         keys[places] = np.repeat(smallest, np.diff(np.append(heads, len(places))))
     begins = np.cumsum(sizes) - sizes
-    return [keys[a : a + n - LENGTH + 1] for a, n in zip(begins.tolist(), sizes.tolist())]
+    piece = np.repeat(np.arange(len(sizes)), sizes)
+    inside = np.arange(len(data)) - begins[piece]
+    windows = np.nonzero(inside + LENGTH <= sizes[piece])[0]
+    piece, inside, keys = piece[windows], inside[windows], keys[windows]
+    heads = np.nonzero(np.concatenate([[True], (keys[1:] != keys[:-1]) | (piece[1:] != piece[:-1])])[: len(keys)])[0]
+    return piece[heads], inside[heads], np.diff(np.append(heads, len(keys))), keys[heads]
 
 
 def _sort_suffixes(rows: pd.DataFrame) -> pd.DataFrame:
@@ -374,46 +392,55 @@ def _sort_suffixes(rows: pd.DataFrame) -> pd.DataFrame:
     row_of = np.repeat(np.arange(len(tables)), [len(t) for t in tables])
     number = np.concatenate([np.arange(len(t)) for t in tables])
     # Equal pieces are one; pieces with different routes never share a window.
-    first: dict[tuple[int, bytes], int] = {}
-    same = np.array([first.setdefault(p, len(first)) for p in zip(pieces["route"].tolist(), texts)])
-    least = np.full(len(first), np.iinfo(np.int64).max)
+    numbers = _Numbers()
+    same = np.fromiter(map(numbers.__getitem__, texts), np.int64, len(texts))
+    different = list(numbers)
+    first = np.unique(same, return_index=True)[1]
+    least = np.full(len(different), np.iinfo(np.int64).max)
     np.minimum.at(least, same, pieces["least"])
-    told: list[np.ndarray | None] = [None] * len(first)
-    different = sorted(first)
-    batch: list[tuple[int, bytes]] = []
-    size = 0
-    for i, piece in enumerate(different):
-        if size >= PART and piece[0] != batch[-1][0]:
-            _tell(batch, first, least, told)
-            batch, size = [], 0
-        batch.append(piece)
-        size += len(piece[1])
-    _tell(batch, first, least, told)
-    replies: list[list[tuple]] = [[] for _ in tables]
-    own, several = pieces["least"].tolist(), pieces["several"].tolist()
-    for i, (row, piece, at) in enumerate(zip(row_of.tolist(), number.tolist(), same.tolist())):
-        for begin, end, key in told[at]:
-            if key < own[i] or several[i]:
-                replies[row].append((piece, begin, end - begin, key))
-    kept = [i for i, r in enumerate(replies) if r]
+    told = _told(different, pieces["route"][first], pieces["size"][first].astype(np.int64), least)
+    piece, begin, count, key = told
+    firsts, times = np.searchsorted(piece, np.arange(len(different))), np.bincount(piece, minlength=len(different))
+    times = times[same]
+    of = np.repeat(np.arange(len(same)), times)
+    at = firsts[same][of] + np.arange(len(of)) - np.repeat(np.cumsum(times) - times, times)
+    useful = (key[at] < pieces["least"][of]) | (pieces["several"][of] > 0)
+    of, at = of[useful], at[useful]
+    replies = np.zeros(len(of), _REPLY)
+    replies["piece"], replies["first"], replies["count"], replies["least"] = number[of], begin[at], count[at], key[at]
+    row = row_of[of]
+    cuts = np.searchsorted(row, np.arange(len(tables) + 1)).tolist()
+    kept = [i for i in range(len(tables)) if cuts[i] < cuts[i + 1]]
     return pd.DataFrame(
         {
             "chunk": rows["chunk"].iloc[kept].to_numpy(),
             "range": rows["range"].iloc[kept].to_numpy(),
-            "replies": [np.array(replies[i], _REPLY).tobytes() for i in kept],
+            "replies": [replies[cuts[i] : cuts[i + 1]].tobytes() for i in kept],
         }
     )
 
 
-def _tell(batch: list[tuple[int, bytes]], first: dict, least: np.ndarray, told: list) -> None:
-    """Runs of windows with one smallest key, for the pieces of a batch."""
-    if not batch:
-        return
-    at = [first[p] for p in batch]
-    for i, keys in zip(at, least_keys([t for _, t in batch], least[at])):
-        heads = np.nonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))[0]
-        ends = np.append(heads[1:], len(keys))
-        told[i] = list(zip(heads.tolist(), ends.tolist(), keys[heads].tolist()))
+def _told(texts: list[bytes], routes: np.ndarray, sizes: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, ...]:
+    """``least_keys`` of different pieces, in the order of the pieces, worked out in bounded batches."""
+    order = np.argsort(routes, kind="stable")
+    routes = routes[order]
+    # A piece alone with its route meets no other: its windows have its own key.
+    alone = np.concatenate([[True], routes[1:] != routes[:-1]]) & np.concatenate([routes[1:] != routes[:-1], [True]])
+    single = order[alone]
+    found = [(single, np.zeros(len(single), np.int64), sizes[single] - LENGTH + 1, least[single])]
+    order, routes = order[~alone], routes[~alone]
+    ends, start = np.cumsum(sizes[order]), 0
+    while start < len(order):
+        # As many pieces as fit, and the rest of the last route.
+        end = np.searchsorted(ends, (ends[start - 1] if start else 0) + PART, "right")
+        end = np.searchsorted(routes, routes[max(end, start + 1) - 1], "right")
+        own = order[start:end]
+        piece, *rest = least_keys([texts[i] for i in own.tolist()], sizes[own], least[own])
+        found.append((own[piece], *rest))
+        start = int(end)
+    columns = [np.concatenate(c) for c in zip(*found)]
+    order = np.argsort(columns[0], kind="stable")
+    return tuple(c[order] for c in columns)
 
 
 # Step 3: cutting

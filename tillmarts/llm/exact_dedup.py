@@ -63,18 +63,15 @@ def buckets_of(spark: SparkSession, index: str) -> int:
 
 
 @contextmanager
-def _setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, value)
+def _stored_order(spark: SparkSession) -> Iterator[None]:
+    """Scans within tell the planner that a bucket of a single file is sorted, so it isn't sorted again."""
+    name = "spark.sql.legacy.bucketedTableScan.outputOrdering"
+    before = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
     try:
         yield
     finally:
-        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
-
-
-def _stored_order(spark: SparkSession):
-    """Scans within tell the planner that a bucket of a single file is sorted, so it isn't sorted again."""
-    return _setting(spark, "spark.sql.legacy.bucketedTableScan.outputOrdering", "true")
+        spark.conf.set(name, before)
 
 
 def new_digests(spark: SparkSession, index: str, groups: DataFrame, batch: str | None = None) -> DataFrame:
@@ -87,7 +84,8 @@ def new_digests(spark: SparkSession, index: str, groups: DataFrame, batch: str |
 
 def _write(rows: DataFrame, index: str, buckets: int, mode: str) -> None:
     """One file per bucket, sorted by digest."""
-    rows = rows.select("digest", "keep_id", "batch").repartition(buckets, "digest")
+    # Dealt by the bucket itself, so that a bucket is one task's whatever the number of partitions.
+    rows = rows.select("digest", "keep_id", "batch").repartition(buckets, F.pmod(F.hash("digest"), F.lit(buckets)))
     rows.write.mode(mode).format("parquet").bucketBy(buckets, "digest").sortBy("digest").saveAsTable(index)
 
 
@@ -105,9 +103,7 @@ def compact(spark: SparkSession, index: str, buckets: int | None = None) -> None
     """
     new, old = f"{index}_{uuid.uuid4().hex}", f"{index}_replaced"
     create_index(spark, new, buckets or buckets_of(spark, index))
-    # Read as plain files: over a bucketed scan the planner drops the repartition, and then the buckets too.
-    with _setting(spark, "spark.sql.sources.bucketing.enabled", "false"):
-        _write(spark.table(index), new, buckets_of(spark, new), "append")
+    _write(spark.table(index), new, buckets_of(spark, new), "append")
     spark.sql(f"ALTER TABLE {index} RENAME TO {old}")
     spark.sql(f"ALTER TABLE {new} RENAME TO {index}")
     spark.sql(f"DROP TABLE {old}")

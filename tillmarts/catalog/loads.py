@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,8 +21,10 @@ from tillmarts.plans import loads as plans
 from tillmarts.plans.sales import document_rows
 from tillmarts.plans.shop import order_rows
 from tillmarts.schemas import SHOP_ORDER_COLUMNS
+from tillmarts.sources import versioned as V
 from tillmarts.sources import writers as W
 from tillmarts.sources.readers import scan_table
+from tillmarts.sources.targets import Keyed, Versions
 from tillmarts.storage import fresh_path
 
 
@@ -58,17 +61,58 @@ def sink_upsert(spark: SparkSession, folder: str) -> DataFrame:
     """Insights to the 20th, then twice a batch from the 11th on with other names and duplicates."""
     path = fresh_path(spark, "upsert-target")
     rows = S.insights(spark, folder)
-    W.sink_upsert(path, rows.filter("date_start <= '2024-01-20'"), "id", ["ad_name"], "date_start")
+    V.merge(path, rows.filter("date_start <= '2024-01-20'"), "id", ["ad_name"], plans.DAY_OF_AD)
     late = rows.filter("date_start >= '2024-01-11'")
 
     def named(n: int) -> DataFrame:
         return late.withColumn("ad_name", F.concat("ad_name", F.lit(f", {n}")))
 
     for _ in range(2):
-        W.sink_upsert(path, named(2).unionByName(named(1)), "id", ["ad_name"], "date_start")
+        V.merge(path, named(2).unionByName(named(1)), "id", ["ad_name"], plans.DAY_OF_AD)
+    return V.read(spark, path)
+
+
+@query(
+    expect("""
+      SELECT * REPLACE (CASE WHEN date_start >= '2024-01-11' THEN ad_name || ', 1' ELSE ad_name END AS ad_name)
+      FROM insight_rows""")
+)
+def sink_upsert_folders(spark: SparkSession, folder: str) -> DataFrame:
+    """The same into plain folders of days, which Spark swaps one after the other."""
+    path = fresh_path(spark, "upsert-folders")
+    rows = S.insights(spark, folder)
+    W.sink_upsert(path, rows.filter("date_start <= '2024-01-20'"), "id", ["ad_name"], "date_start")
+    late = rows.filter("date_start >= '2024-01-11'")
+
+    def named(n: int) -> DataFrame:
+        return late.withColumn("ad_name", F.concat("ad_name", F.lit(f", {n}")))
+
+    W.sink_upsert(path, named(2).unionByName(named(1)), "id", ["ad_name"], "date_start")
     return spark.read.schema(rows.schema).parquet(path)
 
 
+@query("""
+  SELECT 1 AS version, o_orderkey, o_orderstatus, o_totalprice, CAST(NULL AS VARCHAR) AS o_clerk
+  FROM orders WHERE o_orderstatus = 'O'
+  UNION ALL SELECT 3, o_orderkey, CASE WHEN o_orderstatus = 'O' AND o_orderkey % 7 = 0 THEN 'late' ELSE o_orderstatus END,
+    o_totalprice, CASE WHEN o_orderstatus = 'F' THEN 'clerk ' || o_custkey END
+  FROM orders WHERE o_orderstatus IN ('O', 'F')""")
+def sink_versions(spark: SparkSession, folder: str) -> DataFrame:
+    """The first and the last of three versions: loaded, widened by a column, merged."""
+    path = fresh_path(spark, "versions")
+    all_orders = scan_table(spark, folder, "orders")
+    orders = all_orders.select("o_orderkey", "o_orderstatus", "o_totalprice", "o_custkey")
+    clerk = F.concat(F.lit("clerk "), F.col("o_custkey").cast("string"))
+    first = orders.filter("o_orderstatus = 'O'").drop("o_custkey")
+    V.append(path, first, "o_orderkey")
+    second = orders.filter("o_orderstatus = 'F'").withColumn("o_clerk", clerk).drop("o_custkey")
+    V.append(path, second, "o_orderkey", columns="widen")
+    late = first.filter("o_orderkey % 7 = 0").withColumn("o_orderstatus", F.lit("late"))
+    V.merge(path, late, "o_orderkey", ["o_orderstatus"], columns="widen")
+    before = V.read(spark, path, 1).withColumn("o_clerk", F.lit(None).cast("string"))
+    return before.withColumn("version", F.lit(1)).unionByName(V.read(spark, path).withColumn("version", F.lit(3)))
+
+
 @query(expect("SELECT * FROM insight_rows"))
 def ads_load(spark: SparkSession, folder: str) -> DataFrame:
     """Landed insights, loaded day windows that overlap, with lookups that repeat their keys."""
@@ -84,7 +128,7 @@ def ads_load(spark: SparkSession, folder: str) -> DataFrame:
     budgets = S.adset_budgets(spark, folder), S.campaign_budgets(spark, folder)
     for today, days in ((dt.date(2024, 1, 20), 400), (dt.date(2024, 2, 1), 20), (dt.date(2024, 12, 31), 360)):
         plans.ads_load(raw, ads, *budgets, path, today, days)
-    return spark.read.schema(S.insights(spark, folder).schema).parquet(path)
+    return V.read(spark, path)
 
 
 @query(f"""
@@ -185,6 +229,61 @@ def incremental_load(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(document_rows(source).schema).parquet(path)
 
 
+@query(
+    expect("""
+      SELECT doc_id AS id, document_number AS number, document_type_id AS type FROM docs
+      WHERE day < DATE '1998-01-01' OR doc_id % 3 = 0""")
+)
+def incremental_load_keyed(spark: SparkSession, folder: str) -> DataFrame:
+    """A table in buckets by id, loaded in part, then twice a batch that overlaps it and repeats itself."""
+    place = Keyed(f"load_{uuid.uuid4().hex}", "id", fresh_path(spark, "keyed"), 8)
+    return _twice(spark, folder, place)
+
+
+@query(
+    expect("""
+      SELECT doc_id AS id, document_number AS number, document_type_id AS type FROM docs
+      WHERE day < DATE '1998-01-01' OR doc_id % 3 = 0""")
+)
+def incremental_load_versions(spark: SparkSession, folder: str) -> DataFrame:
+    """The same into a versioned table."""
+    return _twice(spark, folder, Versions(fresh_path(spark, "versioned"), "id"))
+
+
+def _twice(spark: SparkSession, folder: str, place) -> DataFrame:
+    source = _landed_documents(spark, folder).select(
+        "id", "emissionDate", F.col("number").cast("bigint").alias("number"), F.col("document_type.id").alias("type")
+    )
+
+    def shape(df: DataFrame) -> DataFrame:
+        return df.drop("emissionDate")
+
+    place.append(shape(source.filter(F.col("emissionDate") < 883_612_800)))
+    batch = source.filter("id % 3 = 0")
+    for _ in range(2):
+        loads.append_new(batch.unionByName(batch), place, shape, "id")
+    return place.holding(source.select("id"))
+
+
+@query("""
+  SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS n, 'stored' AS state FROM events WHERE event_type <> 'error'
+  UNION ALL SELECT event_id, NULL, 'n/a' FROM events WHERE event_type = 'error'
+  UNION ALL SELECT event_id, NULL, 'n/a again' FROM events WHERE event_type = 'error' AND event_id % 2 = 0""")
+def incremental_load_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """Loads of records some of which are no numbers: three equal runs, then one in which half of the bad
+    records come with other text. Dead letters are kept once for each content."""
+    path, rejects = fresh_path(spark, "casts"), fresh_path(spark, "dead-letters")
+    events = scan_table(spark, folder, "events")
+    bad = F.col("event_type") == "error"
+    records = events.select("event_id", F.when(bad, F.lit("n/a")).otherwise(F.get_json_object("props", "$.k")).alias("n"))
+    again = records.filter("n = 'n/a' AND event_id % 2 = 0").withColumn("n", F.lit("n/a again"))
+    for batch in (records, records.unionByName(records), records, again):
+        loads.append_new(batch, path, lambda df: df, "event_id", ["n"], casts={"n": "bigint"}, rejects=rejects)
+    stored = spark.read.parquet(path).withColumn("state", F.lit("stored"))
+    letters = spark.read.parquet(rejects).select("event_id", F.lit(None).cast("bigint").alias("n"), F.col("n").alias("state"))
+    return stored.unionByName(letters)
+
+
 @query("SELECT o_orderkey AS id, o_custkey AS client FROM orders")
 def gap_repair(spark: SparkSession, folder: str) -> DataFrame:
     """Orders that have lines, completed with the missing ones from a second source."""

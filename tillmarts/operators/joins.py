@@ -58,7 +58,8 @@ def anti_join_existing(
 
     ``existing`` is the whole target and ``batch`` a short trailing window. Reducing ``existing``
     to the keys of the batch first lets the small side be the build side, so the target's ids are
-    only scanned; the anti join then sees a few matched keys.
+    only scanned; the anti join then sees a few matched keys. Above the broadcast size a target in
+    buckets by its key (``targets.Keyed``) stays in place and the batch is moved to the buckets.
     """
     keyed = F.col(key).cast("string") if as_text else F.col(key)
     # Written, so that the join with the target is planned on its size: as long as it is small,

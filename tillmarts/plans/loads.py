@@ -11,7 +11,12 @@ from tillmarts.operators.filters import filter_between_dates, filter_since
 from tillmarts.operators.loads import append_new
 from tillmarts.plans.ads import ad_insight_rows
 from tillmarts.plans.shop import order_rows
-from tillmarts.sources.writers import sink_upsert
+from tillmarts.sources import versioned
+from tillmarts.sources.targets import Target
+
+
+#: The day in the key of an ad's day.
+DAY_OF_AD = "substring_index(id, '_', -1)"
 
 
 def ads_load(
@@ -24,16 +29,18 @@ def ads_load(
     days_back: int,
     integer_budgets: bool = False,
 ) -> None:
-    """Upsert the insights of the last ``days_back`` days, today included, with all their columns.
+    """Merge the insights of the last ``days_back`` days, today included, with all their columns into the
+    versioned table at ``path``.
 
-    The key holds the day, so only the folders of those days are read and replaced.
+    The key ends in the day and the table is laid out by it, so only files of those days are read
+    and replaced.
     """
     recent = filter_between_dates(insights, "date_start", today - dt.timedelta(days=days_back), today)
     rows = ad_insight_rows(recent, ads, adsets, campaigns, integer_budgets)
-    sink_upsert(path, rows, "id", [c for c in rows.columns if c != "id"], "date_start")
+    versioned.merge(path, rows, "id", [c for c in rows.columns if c != "id"], DAY_OF_AD)
 
 
-def orders_load(orders: DataFrame, path: str, now: str, days_back: int) -> None:
+def orders_load(orders: DataFrame, place: str | Target, now: str, days_back: int) -> None:
     """Append the web-shop orders created in the last ``days_back`` days that are not stored yet, as text."""
     recent = filter_since(orders, "created_at", now, days_back)
-    append_new(recent, path, lambda df: stringify_all(order_rows(df)), "id", as_text=True)
+    append_new(recent, place, lambda df: stringify_all(order_rows(df)), "id", as_text=True)

@@ -275,6 +275,59 @@ def test_rows_by_interval(spark, rows):
     assert rows(filters.filter_id_range(ids(spark, [1, 2, 3]), "id", 2, 3)) == [(2,), (3,)]
 
 
+def test_intervals_of_any_length_against_plain_python(spark, rows):
+    rng = random.Random(8)
+    pairs = [(-50, -50), (-7, 12), (5, 4), (0, 0), (1, 10**12), (-(10**15), 10**15), (2**61, 2**61 + 3)]
+    for _ in range(60):
+        a = rng.randint(-200, 400)
+        pairs.append((a, a + rng.choice([0, 1, 7, 63, 64, 65, 500])))
+    values = [*range(-60, 300, 3), 10**12, 10**12 + 1, 10**15, 10**15 + 1, 2**61 + 2, -(10**15) - 1, None]
+    intervals = spark.createDataFrame(pairs, "first_id bigint, last_id bigint")
+    want = sorted((i, a, b) for a, b in pairs for i in values if i is not None and a <= i <= b)
+    for width in (2, 3, 16, 1000):
+        got = filters.filter_id_intervals(ids(spark, values), intervals, "id", width=width)
+        assert sorted(rows(got, "id", "first_id", "last_id")) == want
+    assert filters.filter_id_intervals(ids(spark, values), intervals.limit(0), "id").count() == 0
+
+
+def test_a_very_wide_interval_has_few_blocks(spark):
+    wide = spark.createDataFrame([(1, 10**12)], "first_id bigint, last_id bigint")
+    assert filters.cover_blocks(wide, "first_id", "last_id", 16).count() < 2 * 16 * 11
+    big = spark.range(0, 10**6).select((F.col("id") * 1_000_003).alias("id"))
+    assert filters.filter_id_intervals(big, wide, "id").count() == 10**12 // 1_000_003
+
+
+def test_gaps_grow_with_what_is_fetched_not_with_what_is_missing(spark, rows):
+    interval = spark.createDataFrame([(1, 10**9)], "first_id bigint, last_id bigint")
+    have = ids(spark, [1, 2, 3, 5 * 10**8, 10**9, 10**9 + 7, -4])
+    got = sets.missing_ranges(interval, have)
+    assert rows(got) == [(1, 10**9, 4, 5 * 10**8 - 1), (1, 10**9, 5 * 10**8 + 1, 10**9 - 1)]
+    assert rows(sets.missing_ranges(interval, have.filter("id < 0"))) == [(1, 10**9, 1, 10**9)]
+    dense = spark.range(1, 2_000_001).filter("id NOT IN (77, 78, 1000000, 1999999)")
+    some = spark.createDataFrame([(1, 2_000_000)], "first_id bigint, last_id bigint")
+    assert rows(sets.missing_ids(some, dense)) == [(1, 2_000_000, i) for i in (77, 78, 1_000_000, 1_999_999)]
+    plan = sets.missing_ranges(some, dense)._jdf.queryExecution().optimizedPlan().toString()
+    assert "sequence(gap" not in plan
+
+
+def test_gaps_of_overlapping_intervals_against_plain_python(spark, rows):
+    rng = random.Random(9)
+    pairs = {(a, a + rng.choice([-1, 0, 5, 40, 90])) for a in (rng.randint(-100, 200) for _ in range(40))}
+    have = [i for i in range(-120, 320) if rng.random() < 0.6]
+    intervals = spark.createDataFrame(sorted(pairs), "first_id bigint, last_id bigint")
+    want = sorted((a, b, i) for a, b in pairs for i in range(a, b + 1) if i not in set(have))
+    assert rows(sets.missing_ids(intervals, ids(spark, have + have), run=7)) == want
+    assert rows(sets.missing_ids(intervals.limit(0), ids(spark, have))) == []
+
+
+def test_gap_repair_generates_no_ids(spark, rows):
+    """A gap of 1e15 ids, closed by the two records there are."""
+    loaded = spark.createDataFrame([(1, "x"), (10**15, "y")], "id bigint, body string")
+    second = spark.createDataFrame([(7, "b"), (10**14, "c"), (10**15, "never"), (5 * 10**15, "outside")], "id bigint, body string")
+    out = loads.gap_repair(loaded, second, ids(spark, [1, 10**15 + 1]), order_by=["body"])
+    assert rows(out) == [(1, "x"), (7, "b"), (10**14, "c"), (10**15, "y")]
+
+
 def test_gap_repair(spark, rows):
     full = ids(spark, range(1, 21))
     loaded = full.filter("id NOT IN (3, 8, 20)")

@@ -27,11 +27,11 @@ def plan(df) -> str:
 # ``interval_pairs`` and its users also order one row per shuffle partition.
 ONE_TASK_AT_THE_END = {
     "build_marts", "date_table", "filter_id_range", "first_row", "gap_repair", "generate_series", "interval_pairs",
-    "left_join_date_dim", "missing_ids", "sales_core", "sink_model", "sorted_list",
+    "left_join_date_dim", "missing_ids", "missing_ranges", "sales_core", "sink_model", "sorted_list",
     "trailing_visit_totals", "ads_platform_calendar",
 }
 
-ORDERS_BLOCK_STARTS = {"filter_id_range", "gap_repair", "interval_pairs", "missing_ids", "sorted_list"}
+ORDERS_BLOCK_STARTS = {"filter_id_range", "gap_repair", "interval_pairs", "missing_ids", "missing_ranges", "sorted_list"}
 
 
 @needs_data

@@ -703,6 +703,33 @@ def missing_ids(spark: SparkSession, folder: str) -> DataFrame:
     return sets.missing_ids(sets.interval_pairs(_cursors(spark, folder)), fetched)
 
 
+@query(
+    expect("""
+      SELECT first_id, last_id, CAST(min(id) AS BIGINT) AS gap_first, CAST(max(id) AS BIGINT) AS gap_last
+      FROM (SELECT *, id - row_number() OVER (PARTITION BY first_id ORDER BY id) AS run FROM gaps)
+      GROUP BY first_id, last_id, run""")
+)
+def missing_ranges(spark: SparkSession, folder: str) -> DataFrame:
+    """The runs of order ids without any line, by load interval."""
+    fetched = scan(spark, folder, "lineitem").select(F.col("l_orderkey").alias("id"))
+    return sets.missing_ranges(sets.interval_pairs(_cursors(spark, folder)), fetched)
+
+
+@query("""
+  SELECT o_orderkey AS id, c_custkey AS interval FROM orders JOIN customer
+  ON o_orderkey BETWEEN c_custkey * 37 - c_nationkey * c_nationkey AND c_custkey * 37 + c_nationkey - 10""")
+def filter_id_intervals(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders in intervals of very different lengths that overlap, begin below zero or are empty."""
+    middle, nation = F.col("c_custkey") * 37, F.col("c_nationkey")
+    intervals = scan(spark, folder, "customer").select(
+        F.col("c_custkey").alias("interval"),
+        (middle - nation * nation).cast("bigint").alias("first_id"),
+        (middle + nation - 10).cast("bigint").alias("last_id"),
+    )
+    ids = scan(spark, folder, "orders").select(F.col("o_orderkey").alias("id"))
+    return filters.filter_id_intervals(ids, intervals, "id").select("id", "interval")
+
+
 @query(expect("SELECT * FROM id_intervals"))
 def interval_pairs(spark: SparkSession, folder: str) -> DataFrame:
     return sets.interval_pairs(_cursors(spark, folder))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tillmarts.functions.dates import local_to_epoch
 from tillmarts.functions.lookups import LOCAL_ZONE
-from tillmarts.operators.sets import cut_interval
+from tillmarts.storage import materialize
 
 
 def filter_in(df: DataFrame, col: str, values: Sequence) -> DataFrame:
@@ -79,18 +79,61 @@ def filter_id_intervals(
     col: str,
     first: str = "first_id",
     last: str = "last_id",
-    width: int = 10_000,
+    width: int = 16,
 ) -> DataFrame:
-    """Rows of ``df`` matched to the interval holding their id (an equi join on id blocks)."""
-    # Cut in two levels, so that a wide interval does not become one long array.
-    begin, end = F.floor(F.col(first) / width), F.floor(F.col(last) / width)
-    spans = cut_interval(intervals, begin, end, width, "_span")
-    until = F.least(F.col("_span") + width - 1, end)
-    blocks = cut_interval(spans, F.col("_span"), until, 1, "_block").drop("_span")
-    rows = df.withColumn("_block", F.floor(F.col(col) / width))
-    return (
-        rows.join(blocks, "_block").filter(F.col(col).between(F.col(first), F.col(last))).drop("_block")
-    )
+    """Rows of ``df`` matched to each interval that holds their id; both ends belong to it.
+
+    An interval is the sum of few whole blocks: of single ids at its ends, then of ``width`` ids,
+    of ``width`` * ``width`` ids and so on, at most twice ``width`` of each size. An id lies in one block of each
+    size, so this is an equi join on (size, block) that gives just the right pairs, whatever the
+    intervals' lengths and however they overlap. Rows are repeated for the sizes that occur, at most
+    64 / log2(width) of them.
+    """
+    blocks = materialize(cover_blocks(intervals, first, last, width), "interval-blocks")
+    # The sizes in use: a handful of numbers.
+    sizes = sorted(r[0] for r in blocks.select("_size").distinct().collect())
+    sizes = sizes or [1]  # there may be no interval at all
+    each = F.explode(F.array(*[F.lit(s).cast("bigint") for s in sizes]))
+    rows = df.select("*", each.alias("_size")).withColumn("_block", _floor_div(F.col(col).cast("bigint"), F.col("_size")))
+    return rows.join(blocks, ["_size", "_block"]).drop("_size", "_block")
+
+
+def _floor_div(a: Column, b: Column) -> Column:
+    """Whole division that rounds down, without the doubles of ``floor``."""
+    return F.call_function("div", a - F.pmod(a, b), b)
+
+
+def cover_blocks(intervals: DataFrame, first: str, last: str, width: int) -> DataFrame:
+    """The rows of ``intervals`` once for each block that makes them up, with ``_size`` and ``_block``.
+
+    With L and R the first and last + 1 in blocks of a size, rounded inwards, the blocks of that size are those
+    of [L, R) which no block of the next size covers: some at the left, some at the right.
+    """
+    begin, end = F.col(first).cast("bigint"), F.col(last).cast("bigint") + 1
+    parts = []
+    size = 1
+    while size < 1 << 62:
+        left, right = _ceil_div(begin, size), _floor_div(end, F.lit(size).cast("bigint"))
+        if size * width < 1 << 62:
+            after, until = _ceil_div(begin, size * width) * width, _floor_div(end, F.lit(size * width).cast("bigint")) * width
+        else:  # no larger size
+            after = until = right
+        whole = after >= until  # no larger block inside
+        parts.append(_blocks(size, left, F.when(whole, right).otherwise(after)))
+        parts.append(_blocks(size, F.when(whole, right).otherwise(until), right))
+        size *= width
+    sides = intervals.filter(F.col(first) <= F.col(last)).select("*", F.explode(F.array(*parts)).alias("_part"))
+    sides = sides.filter("_part.low < _part.high")
+    block = F.explode(F.sequence(F.col("_part.low"), F.col("_part.high") - 1))
+    return sides.select(*intervals.columns, F.col("_part.size").alias("_size"), block.alias("_block"))
+
+
+def _ceil_div(a: Column, b: int) -> Column:
+    return -_floor_div(-a, F.lit(b).cast("bigint"))
+
+
+def _blocks(size: int, low: Column, high: Column) -> Column:
+    return F.struct(F.lit(size).cast("bigint").alias("size"), low.alias("low"), high.alias("high"))
 
 
 def split_bad_rows(df: DataFrame, casts: Mapping[str, str]) -> tuple[DataFrame, DataFrame]:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillmarts.operators.filters import filter_id_intervals
 from tillmarts.storage import materialize
 
 
@@ -53,6 +54,41 @@ def cut_interval(df: DataFrame, first: Column, last: Column, width: int, name: s
     return df.withColumn(name, F.explode(F.sequence(first, last, F.lit(width).cast("bigint"))))
 
 
+def missing_ranges(
+    intervals: DataFrame,
+    fetched: DataFrame,
+    col: str = "id",
+    first: str = "first_id",
+    last: str = "last_id",
+) -> DataFrame:
+    """The gaps of the intervals: (first, last, gap_first, gap_last) of each run of ids that was not fetched.
+
+    Gaps lie between a fetched id and the next larger one, so what is shuffled grows with the
+    fetched ids, the intervals and the gaps, never with the ids that are missing. Intervals may
+    overlap; each has its own gaps.
+    """
+    bounds = materialize(intervals.select(first, last).distinct().filter(F.col(first) <= F.col(last)), "intervals")
+    least, most = bounds.agg(F.min(first), F.max(last)).first()  # two numbers
+    if least is None:
+        return bounds.select("*", F.col(first).alias("gap_first"), F.col(last).alias("gap_last"))
+    inside = fetched.select(F.col(col).cast("bigint").alias("_id")).filter(F.col("_id").between(least, most))
+    # An id before all and one behind all, so that the ends have gaps too.
+    ends = bounds.sparkSession.createDataFrame([(least - 1,), (most + 1,)], "_id bigint")
+    steps = next_larger(inside.unionByName(ends), "_id", "_next")
+    gaps = steps.filter(F.col("_next") > F.col("_id") + 1).select(
+        (F.col("_id") + 1).alias("_from"), (F.col("_next") - 1).alias("_to")
+    )
+    gaps = materialize(gaps, "gaps")
+    # A gap meets an interval if it begins inside it, or if it holds the interval's first id.
+    begun = filter_id_intervals(gaps, bounds, "_from", first, last)
+    held = filter_id_intervals(bounds, gaps, first, "_from", "_to").filter(F.col("_from") < F.col(first))
+    met = begun.unionByName(held)
+    return met.select(
+        first, last, F.greatest("_from", first).cast("bigint").alias("gap_first"),
+        F.least("_to", last).cast("bigint").alias("gap_last"),
+    )
+
+
 def missing_ids(
     intervals: DataFrame,
     fetched: DataFrame,
@@ -63,19 +99,19 @@ def missing_ids(
 ) -> DataFrame:
     """Ids inside the intervals that were not fetched.
 
-    Intervals are cut into spans of ``run`` * ``run`` ids, these into runs of ``run`` ids and these into ids,
-    each spread over the tasks, so a single wide interval neither becomes one long array nor one
-    long task.
+    Ids are generated inside gaps only. A gap is cut into spans of ``run`` * ``run`` ids, these into runs of
+    ``run`` ids and these into ids, each spread over the tasks, so a single wide gap neither becomes
+    one long array nor one long task.
     """
-    start, stop = F.col("_start"), F.least(F.col("_start") + run - 1, F.col(last))
+    gaps = missing_ranges(intervals, fetched, col, first, last)
     # A fixed number of partitions: the runs are few bytes but many ids, so they must not be
     # coalesced by their size.
     tasks = int(intervals.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spans = cut_interval(intervals, F.col(first), F.col(last), run * run, "_span").repartition(tasks, "_span")
-    until = F.least(F.col("_span") + run * run - 1, F.col(last))
+    start, stop = F.col("_start"), F.least(F.col("_start") + run - 1, F.col("gap_last"))
+    spans = cut_interval(gaps, F.col("gap_first"), F.col("gap_last"), run * run, "_span").repartition(tasks, "_span")
+    until = F.least(F.col("_span") + run * run - 1, F.col("gap_last"))
     runs = cut_interval(spans, F.col("_span"), until, run, "_start").repartition(tasks, "_start")
-    expected = runs.select(first, last, F.explode(F.sequence(start, stop)).alias(col))
-    return expected.join(fetched.select(col).distinct(), col, "left_anti").select(first, last, col)
+    return runs.select(first, last, F.explode(F.sequence(start, stop)).alias(col))
 
 
 def sorted_list(df: DataFrame, col: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,15 +18,16 @@ from tillmarts.catalog.expected import (
     size_order,
     text,
 )
-from tillmarts.catalog.registry import query
+from tillmarts.catalog.registry import query, registered
 from tillmarts.functions import lookups as L
 from tillmarts.functions.numbers import money_sum
 from tillmarts.operators.sets import union_all
-from tillmarts.plans import ads, marts, sales, shop, stock
+from tillmarts.plans import ads, daily, marts, sales, shop, stock
+from tillmarts.plans import loads as load_plans
 from tillmarts.plans.calendar import calendar_of
 from tillmarts.schemas import SHOP_ORDER_COLUMNS
 from tillmarts.sources.readers import scan_table, series_between
-from tillmarts.storage import fresh_path
+from tillmarts.storage import fresh_path, materialize
 
 _SALE_NAMES = ", ".join(text(n) for n in L.SALE_DOCUMENT_NAMES)
 
@@ -319,27 +322,82 @@ def trailing_visit_totals(spark: SparkSession, folder: str) -> DataFrame:
     return shop.trailing_visit_totals(scan_table(spark, folder, "events"), "2024-02-15")
 
 
-# Marts that keep their input's rows, with a column to add up.
-_MART_ROWS = {
+@query(registered()["trailing_visit_totals"].sql)
+def visit_totals_since(spark: SparkSession, folder: str) -> DataFrame:
+    """The same from the window's events alone and a table of first days, built from windows that overlap."""
+    events = scan_table(spark, folder, "events")
+    seen = None
+    for first, last in (("2023-01-01", "2024-01-20"), ("2024-01-10", "2024-02-10"), ("2024-02-01", "2024-02-16")):
+        window = events.filter(F.col("ts").between(F.lit(first).cast("timestamp_ntz"), F.lit(last).cast("timestamp_ntz")))
+        seen = materialize(shop.first_seen(window, seen), "first-seen")
+    return shop.visit_totals_since(events, seen, "2024-02-15")
+
+
+@query(registered()["stock_ledger"].sql)
+def stock_ledger_carried(spark: SparkSession, folder: str) -> DataFrame:
+    """The ledger in three pieces, each from the closing balances of the one before."""
+    held = S.stock(spark, folder)
+    moves = stock.movements(
+        S.receptions(spark, folder), S.consumptions(spark, folder), S.core(spark, folder)
+    )
+    first, last = (dt.date.fromisoformat(d) for d in S.LEDGER_DAYS)
+    third = (last - first) // 3
+    day = dt.timedelta(days=1)
+    cuts = [first, first + third, first + 2 * third, last + day]
+    pieces, opening = [], None
+    for start, stop in zip(cuts, cuts[1:]):
+        days = str(start), str(stop - day)
+        pieces.append(stock.stock_ledger(held, moves, *days, opening))
+        opening = materialize(stock.closing_balances(moves, *days, opening), "balances")
+    return union_all(*pieces)
+
+
+# A column to add up of each mart, and the block or the query that states its rows.
+_MARTS = {
+    "date_table": ("order_calendar", "1.0"),
     "stg_document_lines": ("doc_lines", "detail_quantity"),
     "stg_stock": ("stock_rows", "quantity"),
-    "ads_budget": ("daily_ads", "spend"),
-    "date_table": ("order_calendar", "1.0"),
+    "ads_budget": ("ads_budget()", "spend"),
+    "ads_platform_calendar": (None, "spend"),  # over another calendar than its query
+    "stock_mart": ("stock_mart()", "stock_actual"),
     "sales_core": ("core", "detail_net_amount"),
+    "sales_daily": ("sales_daily()", "venta_neta"),
+    "stock_vs_sales": ("stock_vs_sales()", "stock_actual"),
+    "stg_receptions": ("stg_receptions()", "quantity"),
+    "stg_consumptions": ("stg_consumptions()", "quantity"),
+    "stock_ledger": ("stock_ledger()", "stock_final"),
 }
 
 
-@query(
-    expect(
+def _stated(block: str) -> str:
+    """A block of the expected results, or the whole result of another query."""
+    return f"({registered()[block.removesuffix('()')].sql})" if block.endswith("()") else block
+
+
+def _mart_totals(marts_sql: dict[str, tuple[str | None, str]]) -> str:
+    return expect(
         " UNION ALL ".join(
-            f"SELECT '{mart}' AS mart, count(*) AS n, {money(column)} AS total FROM {block}"
-            for mart, (block, column) in _MART_ROWS.items()
+            f"SELECT '{mart}' AS mart, count(*) AS n, {money(column)} AS total FROM {_stated(block)} q"
+            for mart, (block, column) in marts_sql.items()
+            if block
         )
     )
-)
-def build_marts(spark: SparkSession, folder: str) -> DataFrame:
-    """All marts written from their sources; rows and totals of those that keep their input's rows."""
-    sources = marts.Sources(
+
+
+def _totals(built: dict[str, DataFrame]) -> DataFrame:
+    return union_all(
+        *[
+            built[mart]
+            .agg(F.count(F.lit(1)).alias("n"), money_sum(F.expr(column)).alias("total"))
+            .select(F.lit(mart).alias("mart"), "n", "total")
+            for mart, (block, column) in _MARTS.items()
+            if block
+        ]
+    )
+
+
+def _sources(spark: SparkSession, folder: str) -> marts.Sources:
+    return marts.Sources(
         documents=S.documents(spark, folder),
         document_types=S.document_types(spark),
         stock=S.stock_raw(spark, folder),
@@ -349,12 +407,33 @@ def build_marts(spark: SparkSession, folder: str) -> DataFrame:
         creatives=S.creatives(spark, folder),
         platform_insights=S.platform_insights(spark, folder),
         calendar=S.sales_calendar(spark, folder),
+        receptions=S.receptions(spark, folder),
+        consumptions=S.consumptions(spark, folder),
+        ledger_days=S.LEDGER_DAYS,
     )
-    built = marts.build_marts(spark, sources, fresh_path(spark, "marts"), S.ADS_AS_OF)
-    counts = [
-        built[mart]
-        .agg(F.count(F.lit(1)).alias("n"), money_sum(F.expr(column)).alias("total"))
-        .select(F.lit(mart).alias("mart"), "n", "total")
-        for mart, (_, column) in _MART_ROWS.items()
-    ]
-    return union_all(*counts)
+
+
+@query(_mart_totals(_MARTS))
+def build_marts(spark: SparkSession, folder: str) -> DataFrame:
+    """All marts written from their sources; rows and totals of each."""
+    built = marts.build_marts(spark, _sources(spark, folder), fresh_path(spark, "marts"), S.ADS_AS_OF)
+    return _totals(built)
+
+
+@query(_mart_totals(_MARTS))
+def daily_run(spark: SparkSession, folder: str) -> DataFrame:
+    """A warehouse filled by a bulk load with gaps, then two equal daily runs; rows and totals of the marts."""
+    warehouse = fresh_path(spark, "warehouse")
+    documents, insights = S.documents(spark, folder), S.insights_raw(spark, folder)
+    old = documents.filter(F.col("emissionDate") < 883_612_800)  # to the end of 1997
+    starts = old.groupBy(F.floor(F.col("id") / 500)).agg(F.min("id").alias("id")).select("id")
+    cursors = starts.unionByName(old.agg((F.max("id") + 1).alias("id")))
+    load_plans.documents_bulk_load(old.filter("id % 11 <> 3"), old, cursors, daily.documents_table(warehouse))
+    lookups = S.ad_statuses(spark, folder), S.adset_budgets(spark, folder), S.campaign_budgets(spark, folder)
+    load_plans.ads_load(insights, *lookups, f"{warehouse}/insights", dt.date(2024, 12, 31), 800)
+    landed = daily.Landed(documents.unionByName(documents), S.stock_raw(spark, folder), insights, *lookups)
+    for _ in range(2):
+        built = daily.daily_run(
+            spark, landed, _sources(spark, folder), warehouse, dt.datetime(2003, 1, 1, 12), 2000, 30, S.ADS_AS_OF
+        )
+    return _totals(built)

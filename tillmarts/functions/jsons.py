@@ -60,13 +60,17 @@ def json_or_empty(col: Column, empty: str) -> Column:
 
 def shaped(df: DataFrame, columns: Sequence[str], nested: Mapping[str, str]) -> DataFrame:
     """Exactly ``columns``, in order. Those in ``nested`` become JSON text, the given empty value where
-    they are missing; an absent plain column is NULL."""
+    they are missing, unless they were landed as text; an absent plain column is NULL."""
     present = set(df.columns)
 
     def field(name: str) -> Column:
         if name not in present:
             return F.lit(nested.get(name)).cast("string").alias(name)
-        value = json_or_empty(F.col(name), nested[name]) if name in nested else F.col(name)
+        value = F.col(name)
+        if name in nested and df.schema[name].dataType == T.StringType():
+            value = F.coalesce(value, F.lit(nested[name]))
+        elif name in nested:
+            value = json_or_empty(value, nested[name])
         return value.alias(name)
 
     return df.select([field(c) for c in columns])

@@ -7,10 +7,14 @@ import datetime as dt
 from pyspark.sql import DataFrame
 
 from tillmarts.functions.jsons import stringify_all
-from tillmarts.operators.filters import filter_between_dates, filter_since
-from tillmarts.operators.loads import append_new
+from tillmarts.operators.aggregates import distinct_by_key
+from tillmarts.operators.filters import filter_between_dates, filter_id_intervals, filter_since
+from tillmarts.operators.loads import append_new, gap_repair, incremental_load
+from tillmarts.operators.sets import interval_pairs
 from tillmarts.plans.ads import ad_insight_rows
+from tillmarts.plans.sales import document_rows
 from tillmarts.plans.shop import order_rows
+from tillmarts.plans.stock import stock_rows
 from tillmarts.sources import versioned
 from tillmarts.sources.targets import Target
 
@@ -44,3 +48,33 @@ def orders_load(orders: DataFrame, place: str | Target, now: str, days_back: int
     """Append the web-shop orders created in the last ``days_back`` days that are not stored yet, as text."""
     recent = filter_since(orders, "created_at", now, days_back)
     append_new(recent, place, lambda df: stringify_all(order_rows(df)), "id", as_text=True)
+
+
+def documents_load(
+    items: DataFrame, place: str | Target, now: str, days_back: int = 3, rejects: str | None = None
+) -> None:
+    """Append the sales documents of the trailing window that are not stored yet, as 18 columns.
+
+    Documents whose id or time of emission is not a whole number are dead letters.
+    """
+    casts = {c: "bigint" for c in ("id", "emissionDate") if items.schema[c].dataType.simpleString() == "string"}
+    incremental_load(items, place, now, days_back, document_rows, order_by=["number"], casts=casts or None, rejects=rejects)
+
+
+def documents_bulk_load(
+    items: DataFrame, second_source: DataFrame, cursors: DataFrame, place: str | Target
+) -> None:
+    """All documents of the id intervals between ``cursors``, appended where they are not stored yet.
+
+    What the interval pages lack is taken from the second source, which is asked by single ids.
+    """
+    intervals = interval_pairs(cursors, "id")
+    listed = filter_id_intervals(items, intervals, "id").select(*items.columns)
+    whole = gap_repair(listed, second_source.select(*items.columns), cursors, "id", ["number"])
+    append_new(whole, place, document_rows, "id", ["number"])
+
+
+def stock_load(items: DataFrame, path: str) -> None:
+    """Truncate and reload the stock, one row of each id. Readers see the old stock or the new one."""
+    rows = stock_rows(items)
+    versioned.replace(path, distinct_by_key(rows, ["id"], ["quantity"]), "id")

@@ -23,6 +23,10 @@ class Sources:
     creatives: DataFrame
     platform_insights: DataFrame
     calendar: DataFrame
+    #: Stock movements and the days of the ledger; without them there is none.
+    receptions: DataFrame | None = None
+    consumptions: DataFrame | None = None
+    ledger_days: tuple[str, str] | None = None
 
 
 def build_marts(spark: SparkSession, sources: Sources, folder: str, as_of: str) -> dict[str, DataFrame]:
@@ -54,4 +58,10 @@ def build_marts(spark: SparkSession, sources: Sources, folder: str, as_of: str)
     )
     keep("sales_daily", sales.sales_daily(core))
     keep("stock_vs_sales", stock.stock_vs_sales(rows, sources.product_master, groups, core))
+    if sources.receptions is not None and sources.consumptions is not None:
+        keep("stg_receptions", stock.stg_receptions(sources.receptions))
+        keep("stg_consumptions", stock.stg_consumptions(sources.consumptions))
+        if sources.ledger_days:
+            moves = stock.movements(sources.receptions, sources.consumptions, core)
+            keep("stock_ledger", stock.stock_ledger(rows, moves, *sources.ledger_days))
     return built

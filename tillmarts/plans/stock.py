@@ -195,29 +195,61 @@ def movements(receptions: DataFrame, consumptions: DataFrame, core: DataFrame) -
     )
 
 
-def stock_ledger(stock: DataFrame, moves: DataFrame, first: str, last: str) -> DataFrame:
+_PAIR = ["variant_id", "office_id"]
+
+
+def _changes(moves: DataFrame, first: str, last: str) -> DataFrame:
+    """Signed movements of the days from ``first`` to ``last``, exact; pairs with a NULL do not count."""
+    start, end = F.lit(first).cast("date"), F.lit(last).cast("date")
+    change = F.coalesce("ingreso", F.lit(0.0)) - F.coalesce("salida", F.lit(0.0))
+    inside = moves.filter(F.col("fecha").between(start, end)).dropna(subset=_PAIR)
+    return inside.select(*_PAIR, "fecha", change.cast(MONEY).alias("change"))
+
+
+def closing_balances(
+    moves: DataFrame, first: str, last: str, opening: DataFrame | None = None
+) -> DataFrame:
+    """variant_id, office_id and balance after ``last``: the movements from ``first`` on and the
+    ``opening`` balances, which a call for the days before ``first`` has given.
+
+    Balances are kept for all pairs that ever moved, in stock or not, so a pair that comes into stock later
+    begins with what it has. They are exact, so it does not matter where the days are cut.
+    """
+    parts = _changes(moves, first, last).select(*_PAIR, "change")
+    if opening is not None:
+        parts = parts.unionByName(opening.select(*_PAIR, F.col("balance").alias("change")))
+    return parts.groupBy(*_PAIR).agg(F.sum("change").cast(MONEY).alias("balance"))
+
+
+def stock_ledger(
+    stock: DataFrame, moves: DataFrame, first: str, last: str, opening: DataFrame | None = None
+) -> DataFrame:
     """Running stock of every stocked variant and branch on every day from ``first`` to ``last``.
 
+    It starts from the ``opening`` balances (see ``closing_balances``), or from zero; with them a new day
+    takes that day's movements only.
+
     Totals are formed over the days that have movements; each total is then spread over the days
     up to the next movement. The full day grid is therefore never shuffled, joined or sorted: it
     appears in the last, row-local step. Movements of pairs that are not in stock, or outside
     the days, do not count.
     """
     start, end = F.lit(first).cast("date"), F.lit(last).cast("date")
-    pair = ["variant_id", "office_id"]
-    opening = stock.select(
+    pair = _PAIR
+    stocked = stock.select(
         *[F.col(c).cast("string").alias(c) for c in pair],
         start.alias("fecha"),
         F.lit(0).cast(MONEY).alias("change"),
         F.lit(True).alias("stocked"),
     )
-    change = F.coalesce("ingreso", F.lit(0.0)) - F.coalesce("salida", F.lit(0.0))
-    moved = moves.filter(F.col("fecha").between(start, end)).dropna(subset=pair)
-    moved = moved.select(
-        *pair, "fecha", change.cast(MONEY).alias("change"), F.lit(False).alias("stocked")
-    )
+    moved = _changes(moves, first, last).withColumn("stocked", F.lit(False))
+    if opening is not None:
+        carried = opening.select(
+            *pair, start.alias("fecha"), F.col("balance").cast(MONEY).alias("change"), F.lit(False).alias("stocked")
+        )
+        moved = moved.unionByName(carried)
     days = (
-        opening.unionByName(moved)
+        stocked.unionByName(moved)
         .groupBy(*pair, "fecha")
         .agg(F.sum("change").alias("change"), F.max("stocked").alias("stocked"))
     )

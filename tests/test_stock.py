@@ -142,3 +142,63 @@ def test_shop_orders_have_all_columns(spark):
     row = shop.order_rows(df).first().asDict()
     assert len(row) == 43 and row["line_items"] == '[{"a":1}]'
     assert (row["customer"], row["discount_codes"], row["email"]) == ("{}", "[]", None)
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_a_ledger_goes_on_from_balances(spark, rows, seed):
+    """Pieces of any length, with the balances between them, equal the whole; late pairs have their past."""
+    rng = random.Random(seed)
+    pairs = [(str(v), str(f)) for v in range(3) for f in range(3) if rng.random() < 0.7]
+    moves = spark.createDataFrame(
+        [
+            (FIRST + dt.timedelta(days=rng.randint(-3, 24)), str(rng.randint(0, 3)), str(rng.randint(0, 2)), rng.random(), rng.random())
+            for _ in range(120)
+        ]
+        + [(FIRST, None, "1", 5.0, 0.0), (None, "1", "1", 5.0, 0.0)],
+        MOVES,
+    )
+    held = spark.createDataFrame(pairs, "variant_id string, office_id string")
+    whole = rows(stock.stock_ledger(held, moves, str(FIRST), str(LAST)))
+    cuts = [FIRST, FIRST + dt.timedelta(days=1), FIRST + dt.timedelta(days=rng.randint(2, 18)), LAST + dt.timedelta(days=1)]
+    got, opening = [], None
+    for a, b in zip(cuts, cuts[1:]):
+        days = str(a), str(b - dt.timedelta(days=1))
+        got += rows(stock.stock_ledger(held, moves, *days, opening))
+        opening = stock.closing_balances(moves, *days, opening)
+    assert sorted(got) == sorted(whole)
+
+
+def test_balances_are_kept_for_pairs_that_are_not_in_stock_yet(spark, rows):
+    moves = spark.createDataFrame([(FIRST, "9", "1", 4.0, 1.0)], MOVES)
+    opening = stock.closing_balances(moves, str(FIRST), str(FIRST))
+    held = spark.createDataFrame([("9", "1")], "variant_id string, office_id string")
+    late = str(FIRST + dt.timedelta(days=1))
+    assert rows(stock.stock_ledger(held, moves, late, late, opening), "stock_final") == [(3.0,)]
+    assert rows(stock.stock_ledger(held, moves, late, late), "stock_final") == [(0.0,)]
+
+
+def test_visits_from_first_days(spark, rows):
+    rng = random.Random(4)
+    start = dt.datetime(2024, 1, 1)
+    data = [(rng.choice([None, *range(25)]), start + dt.timedelta(hours=rng.randint(0, 24 * 80))) for _ in range(400)]
+    events = spark.createDataFrame(data, "user_id int, ts timestamp_ntz")
+    for as_of in ("2024-01-05", "2024-02-15", "2024-03-20", "2025-01-01"):
+        seen = None
+        for a, b in ((0, 30), (20, 45), (40, 81)):  # windows that overlap
+            window = events.filter(F.col("ts").between(F.lit(start + dt.timedelta(days=a)), F.lit(start + dt.timedelta(days=b))))
+            seen = shop.first_seen(window, seen)
+        known = seen.filter(F.col("first_day") <= F.lit(as_of).cast("date"))
+        for table in (seen, known):
+            assert rows(shop.visit_totals_since(events, table, as_of)) == rows(shop.trailing_visit_totals(events, as_of))
+    assert rows(shop.visit_totals_since(events.limit(0), seen, "2024-02-15")) == [(0, 0, 0, 0)]
+
+
+def test_only_the_window_of_events_is_read(spark):
+    from tillmarts.storage import fresh_path
+
+    path = fresh_path(spark, "events")
+    spark.createDataFrame([(1, dt.datetime(2024, 1, 1))], "user_id int, ts timestamp_ntz").write.parquet(path)
+    seen = spark.createDataFrame([], "user int, first_day date")
+    plan = shop.visit_totals_since(spark.read.parquet(path), seen, "2024-02-15")._jdf.queryExecution().executedPlan().toString()
+    pushed = plan.split("PushedFilters: ")[1].split("\n")[0]
+    assert "GreaterThanOrEqual(ts" in pushed and "LessThan(ts" in pushed

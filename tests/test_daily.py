@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tillmarts import standin as S
 from tillmarts.catalog import models
 from tillmarts.plans import daily, loads, marts
+from tillmarts.plans.ads import CREATIVE_FIELDS
 from tillmarts.sources import versioned as V
 from tillmarts.sources.targets import Folder, Versions
 from tillmarts.storage import fresh_path
@@ -64,6 +65,23 @@ def test_stock_is_replaced_as_a_whole(spark, rows):
     assert rows(before, "id", "quantity") == [(1, 5.0), (2, 6.0)]
 
 
+def test_creatives_are_merged_with_their_posts(spark, rows):
+    path = fresh_path(spark, "creatives")
+    ads = spark.createDataFrame([("1", ("c1",)), ("2", ("c1",)), ("3", ("c2",)), ("4", None)], "id string, creative struct<id:string>")
+    fields = ", ".join(f"CAST(NULL AS STRING) AS {c}" for c in CREATIVE_FIELDS if c != "body")
+    details = spark.sql(f"SELECT id, 'own ' || id AS body, IF(id = 'c1', 'p1', NULL) AS effective_object_story_id, {fields}, "
+                        "CAST(NULL AS STRUCT<a:INT>) AS object_story_spec FROM VALUES ('c1'), ('c2') t(id)")
+    posts = spark.sql(
+        "SELECT 'p1' AS id, 'text' AS message, '/p1' AS permalink_url, '2024' AS created_time, "
+        "named_struct('data', array(named_struct('type', 'photo', 'target', named_struct('id', 'v')))) AS attachments"
+    )
+    loads.creatives_load(ads.filter("id < 3"), details, path, posts)
+    loads.creatives_load(ads, details, path, posts)
+    assert rows(V.read(spark, path), "ad_creative_id", "ad_id", "body", "post_link") == [
+        ("c1", "1", "text", "/p1"), ("c2", "3", "own c2", None),
+    ]
+
+
 @needs_data
 def test_a_daily_run_that_is_lost_can_be_started_again(spark, monkeypatch):
     """Lost in each of its steps in turn; the run that ends has the marts of one that was never lost."""

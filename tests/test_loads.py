@@ -168,6 +168,23 @@ def test_upsert_adds_rows_without_a_key(spark, rows):
     assert len(rows(W.upsert(base, batch, "id", ["n"]))) == 4
 
 
+def test_appended_columns_are_the_tables_or_refused_or_widen_it(spark, rows):
+    from tillmarts.sources.columns import ColumnsDiffer
+
+    path = fresh_path(spark, "test-append-columns")
+    W.sink_append(spark.createDataFrame([(1, "x", "2024")], "a bigint, b string, y string"), path, ["y"])
+    W.sink_append(spark.createDataFrame([("z", "2025", 2)], "b string, y string, a int"), path, ["y"])
+    more = spark.createDataFrame([(3, "w", "2025", 1.5)], "a bigint, b string, y string, c double")
+    for wrong in (more, more.drop("b", "c"), spark.createDataFrame([(3, 5, "2025")], "a bigint, b bigint, y string")):
+        with pytest.raises(ColumnsDiffer):
+            W.sink_append(wrong, path, ["y"])
+    assert W.read_appended(spark, path).count() == 2
+    W.sink_append(more, path, ["y"], columns="widen")
+    W.sink_append(spark.createDataFrame([(4, "2025")], "a bigint, y string"), path, ["y"], columns="widen")
+    got = rows(W.read_appended(spark, path), "a", "b", "c")
+    assert got == [(1, "x", None), (2, "z", None), (3, "w", 1.5), (4, None, None)]
+
+
 def test_sinks(spark, rows):
     df = spark.createDataFrame([(1, "x"), (2, None)], "a int, b string")
     path = fresh_path(spark, "test-sink")

@@ -26,9 +26,9 @@ def plan(df) -> str:
 # One row in all: a global total, the bounds of a calendar or an id range, the first row by a sort.
 # ``interval_pairs`` and its users also order one row per shuffle partition.
 ONE_TASK_AT_THE_END = {
-    "build_marts", "date_table", "filter_id_range", "first_row", "gap_repair", "generate_series", "interval_pairs",
+    "build_marts", "daily_run", "date_table", "filter_id_range", "first_row", "gap_repair", "generate_series", "interval_pairs",
     "left_join_date_dim", "missing_ids", "missing_ranges", "sales_core", "sink_model", "sorted_list",
-    "trailing_visit_totals", "ads_platform_calendar",
+    "trailing_visit_totals", "visit_totals_since", "ads_platform_calendar",
 }
 
 ORDERS_BLOCK_STARTS = {"filter_id_range", "gap_repair", "interval_pairs", "missing_ids", "missing_ranges", "sorted_list"}

@@ -44,6 +44,32 @@ def sink_append(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+@query("""
+  SELECT o_orderkey, o_orderstatus, o_totalprice, CASE WHEN o_orderstatus = 'P' THEN o_clerk_key END AS clerk
+  FROM (SELECT *, o_custkey % 100 AS o_clerk_key FROM orders)""")
+def sink_append_widened(spark: SparkSession, folder: str) -> DataFrame:
+    """Three batches, the last of which brings a column and lists its columns in another order."""
+    path, orders = fresh_path(spark, "append-widened"), _orders(spark, folder)
+    for status in ("O", "F"):
+        W.sink_append(orders.filter(F.col("o_orderstatus") == status), path)
+    clerk = (F.col("o_custkey") % 100).alias("clerk")
+    last = scan_table(spark, folder, "orders").filter("o_orderstatus = 'P'")
+    W.sink_append(last.select(clerk, "o_totalprice", "o_orderkey", "o_orderstatus"), path, columns="widen")
+    return W.read_appended(spark, path)
+
+
+@query(expect("SELECT * FROM creative_rows"))
+def creatives_load(spark: SparkSession, folder: str) -> DataFrame:
+    """Creatives loaded in two overlapping parts, the second one twice."""
+    path = fresh_path(spark, "creatives")
+    ads, details = S.ad_links(spark, folder), S.creative_details(spark, folder)
+    half = F.crc32("creative.id") % 2 == 0
+    plans.creatives_load(ads.filter(half), details, path)
+    for _ in range(2):
+        plans.creatives_load(ads, details, path)
+    return V.read(spark, path)
+
+
 @query("SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderstatus <> 'P'")
 def sink_overwrite(spark: SparkSession, folder: str) -> DataFrame:
     path, orders = fresh_path(spark, "overwrite"), _orders(spark, folder)

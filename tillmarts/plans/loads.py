@@ -5,13 +5,14 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tillmarts.functions.jsons import stringify_all
 from tillmarts.operators.aggregates import distinct_by_key
 from tillmarts.operators.filters import filter_between_dates, filter_id_intervals, filter_since
 from tillmarts.operators.loads import append_new, gap_repair, incremental_load
 from tillmarts.operators.sets import interval_pairs
-from tillmarts.plans.ads import ad_insight_rows
+from tillmarts.plans.ads import ad_insight_rows, creative_dim, post_content
 from tillmarts.plans.sales import document_rows
 from tillmarts.plans.shop import order_rows
 from tillmarts.plans.stock import stock_rows
@@ -78,3 +79,15 @@ def stock_load(items: DataFrame, path: str) -> None:
     """Truncate and reload the stock, one row of each id. Readers see the old stock or the new one."""
     rows = stock_rows(items)
     versioned.replace(path, distinct_by_key(rows, ["id"], ["quantity"]), "id")
+
+
+def creatives_load(ads: DataFrame, details: DataFrame, path: str, posts: DataFrame | None = None) -> None:
+    """Merge the creatives of ``ads``, one row each, with their details and, where ``posts`` are given,
+    their post's text, link and video. Creatives that were stored before and come no more stay."""
+    rows = creative_dim(ads, details)
+    if posts is not None:
+        story = "effective_object_story_id"
+        shown = F.col(story) if story in details.columns else F.lit(None).cast("string")
+        shown = details.groupBy(F.col("id").alias("ad_creative_id")).agg(F.min(shown).alias(story))
+        rows = post_content(rows.join(shown, "ad_creative_id", "left"), posts)
+    versioned.merge(path, rows, "ad_creative_id", ["ad_id"])

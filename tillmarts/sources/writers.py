@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillmarts.operators.aggregates import distinct_by_key
+from tillmarts.sources.columns import fitted
 from tillmarts.storage import materialize
 
 
@@ -19,11 +20,25 @@ def _gathered(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df
 
 
-def sink_append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Append, creating the table on first use."""
+def sink_append(
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), columns: str = "equal"
+) -> None:
+    """Append, creating the table on first use.
+
+    The columns of the first write are the table's: a batch with others is refused, or with
+    ``columns="widen"`` adds them; ``read_appended`` shows all columns there are.
+    """
+    spark = df.sparkSession
+    if table_exists(spark, path):
+        df, _ = fitted(df, read_appended(spark, path).schema, columns, partition_by)
     _gathered(df, partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
+def read_appended(spark: SparkSession, path: str) -> DataFrame:
+    """The table at ``path`` with the columns of all its files."""
+    return spark.read.option("mergeSchema", True).parquet(path)
+
+
 def sink_overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Truncate and reload."""
     _gathered(df, partition_by).write.mode("overwrite").option(

@@ -24,8 +24,19 @@ LOWERED = str.maketrans(UPPER, LOWER)
 _shipped: set[str] = set()
 
 
+#: Bytes of a batch of rows on its way to a Python worker, at most; Spark's own bound is 64 MB.
+BATCH_BYTES = 4 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def ship_code(spark: SparkSession) -> None:
-    """Hand this library to the Python workers, once per application, wherever the driver found it."""
+    """Hand this library to the Python workers, once per application, wherever the driver found it.
+
+    Also lowers the bound of what is handed over at a time: a batch stands in memory several times over,
+    in the executor and in the worker.
+    """
+    if int(spark.conf.get(_BATCH_SETTING).rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return

@@ -106,6 +106,11 @@ class Encoder:
         return b"".join(ids)
 
 
+def release() -> None:
+    """Give back the memory of this worker's encoders; for tasks that need it and encode nothing."""
+    encoder.cache_clear()
+
+
 @cache
 def encoder(path: str, drops_space: bool) -> Encoder:
     """One encoder per Python worker and tokenizer file."""

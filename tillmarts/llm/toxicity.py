@@ -35,6 +35,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from tillmarts.llm import tokens
 from tillmarts.llm.common import fresh_name, map_batches, ship_code
 from tillmarts.storage import materialize
 
@@ -171,6 +172,7 @@ def fit(texts: Iterable[str | None], labels: Sequence[int] | np.ndarray) -> Mode
 
 
 def _fit_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    tokens.release()  # a reused worker may hold what an earlier operator has learnt
     labels: list[int] = []
 
     def texts() -> Iterator[str | None]:
@@ -223,6 +225,7 @@ def with_score(docs: DataFrame, model: Model, name: str, text: str = "text") ->
     at = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens.release()
         scorer = Scorer(model)
         for batch in batches:
             scores = [scorer.document(t.as_py()) for t in batch.column(at)]

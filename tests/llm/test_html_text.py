@@ -1,5 +1,6 @@
 import html
 import random
+import time
 
 import pytest
 
@@ -69,6 +70,16 @@ def test_long_pages_take_linear_time():
     assert len(main_text(f"<article><p>{text}</p></article>")) > 500_000
 
 
+@pytest.mark.parametrize(
+    "source",
+    ["<b>" * 100_000 + "<p>x</p>" * 100_000, "<ul><li><ul>" + "<b>" * 100_000 + "<li>x</li>" * 100_000],
+)
+def test_unclosed_inline_tags_take_linear_time(source):
+    start = time.process_time()
+    assert main_text(source) == "\n\n".join(["x"] * 100_000)
+    assert time.process_time() - start < 20
+
+
 def test_query_columns(spark):
     rows = [(1, "u", page("<article><p>x, y</p></article>")), (1, "u", page("<article><p>x, y</p></article>")),
             (None, None, None), (2, "v", "")]

@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import html as entities
 import re
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -94,8 +94,11 @@ class _Page:
 
     def __init__(self, source: str):
         self.tags, self.parents, self.dropped = ["#root"], [0], [False]
+        self.around = [0]  # of each element the nearest block element, itself included
         self.blocks: list[tuple[int, str, int]] = []  # element, text, characters in links
-        self.stack, self.open = [0], Counter()
+        # Open elements, all and by tag. A later one is a deeper one, so the nearest is the largest.
+        self.stack: list[int] = [0]
+        self.open: defaultdict[str, list[int]] = defaultdict(list)
         self.texts: list[str] = []
         self.links = 0
         self.read(source)
@@ -104,8 +107,7 @@ class _Page:
         if self.texts:
             text = " ".join("".join(self.texts).split())
             if text:
-                element = next(e for e in reversed(self.stack) if e == 0 or self.tags[e] in BLOCK_TAGS)
-                self.blocks.append((element, text, min(self.links, len(text))))
+                self.blocks.append((self.around[self.stack[-1]], text, min(self.links, len(text))))
             self.texts, self.links = [], 0
 
     def add(self, raw: str) -> None:
@@ -117,17 +119,19 @@ class _Page:
 
     def push(self, tag: str, attrs: str) -> None:
         top = self.stack[-1]
-        dropped = self.dropped[top] or _is_furniture(tag, attrs, self.open["article"] > 0)
+        dropped = self.dropped[top] or _is_furniture(tag, attrs, bool(self.open["article"]))
+        element = len(self.tags)
         self.tags.append(tag)
         self.parents.append(top)
         self.dropped.append(dropped)
-        self.stack.append(len(self.tags) - 1)
-        self.open[tag] += 1
+        self.around.append(element if tag in BLOCK_TAGS else self.around[top])
+        self.stack.append(element)
+        self.open[tag].append(element)
 
     def pop_to(self, tag: str) -> None:
         while True:
             closed = self.tags[self.stack.pop()]
-            self.open[closed] -= 1
+            self.open[closed].pop()
             if closed == tag:
                 return
 
@@ -135,14 +139,9 @@ class _Page:
         if tag in BLOCK_TAGS and self.open["p"]:
             self.pop_to("p")
         ends, limits = ENDS.get(tag, ((), ()))
-        if any(self.open[t] for t in ends):
-            for element in reversed(self.stack):
-                name = self.tags[element]
-                if name in limits:
-                    return
-                if name in ends:
-                    self.pop_to(name)
-                    return
+        nearest = max((self.open[t][-1] for t in ends if self.open[t]), default=0)
+        if nearest > max((self.open[t][-1] for t in limits if self.open[t]), default=0):
+            self.pop_to(self.tags[nearest])
 
     def read(self, source: str) -> None:
         at = 0

@@ -13,7 +13,7 @@ from tillmarts.llm import token_output as O
 from tillmarts.llm import tokens
 
 FILES = {"byte_bpe_50k.json": False, "word_bpe_49k.json": True}
-ALPHABET = st.sampled_from(list(" \n\t\x0b\x1c\x85\xa0aAbé́'’.,-12²½<|endoftext>_漢\U0001f600İΣσ\0\r") + ["<|endoftext|>", "'s", "  ", "\n\n"])
+ALPHABET = st.sampled_from(list(" \n\t\x0b\x1c\x85\xa0aAbé́'’.,-12²½<|endoftext>_漢\U0001f600İΣσ\0\r") + ["<|endoftext|>", "'s", "  ", "\n\n", "\u0958", "\u1161", "\u0301", "</w>", "\u0120"])
 
 
 @pytest.fixture(scope="module", params=FILES)
@@ -31,6 +31,12 @@ def test_parts_encode_like_the_whole(both, text):
     assert list(np.frombuffer(encoder(text), "<u4")) == plain.encode(text, add_special_tokens=False).ids
 
 
+def test_words_that_normalising_takes_apart_stay_apart(both):
+    encoder, plain = both
+    for text in ["b \u0958 c \u0958. d", "\u0958! \u0130 x", "a " * 50 + "\u0958"]:
+        assert list(np.frombuffer(encoder(text), "<u4")) == plain.encode(text, add_special_tokens=False).ids
+
+
 def test_the_memo_stays_bounded_and_right(both, monkeypatch, words):
     encoder, plain = both
     monkeypatch.setattr(tokens, "MEMO_PARTS", 30)

@@ -3,8 +3,9 @@
 Both tokenizers used here cut a text into pre-tokens and encode each by itself, and no pre-token
 reaches over a blank or line feed that follows a visible character, nor from a letter to ASCII
 punctuation but the apostrophe. So a text may be cut there; the tokenizer encodes each different
-part once, and a task remembers the ids of the parts it has seen. Texts with other white space, or
-more than one blank or line feed in a row, are cut by a slower rule.
+part once, and a task remembers the ids of the parts it has seen. Parts not met before are encoded in
+one call; the vocabulary tells where one ends, as it marks ids that hold a blank or end a word.
+Texts with other white space, or more than one blank or line feed in a row, are cut by a slower rule.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from __future__ import annotations
 import os
 import re
 from functools import cache
+from unicodedata import normalize
 
 import numpy as np
 from tokenizers import Tokenizer
@@ -20,8 +22,11 @@ from tokenizers import Tokenizer
 MEMO_PARTS, MEMO_CHARS = 1_000_000, 40
 #: The same for tokenizers that drop white space, which have fewer different parts.
 MEMO_WORDS = 400_000
-#: Stands between parts that are encoded in one call; an id of its own, so the parts stay apart.
+#: Stands between other parts that are encoded in one call; an id of its own, so the parts stay apart.
 SEPARATOR = "<|endoftext|>"
+#: Fixed values of the tokenizer files: how an id's name ends when it ends a word, and how it begins
+#: when its first byte is a blank.
+WORD_END, BLANK = "</w>", "\u0120"
 
 #: The lookbehind's \S is narrower than what the tokenizers take for visible.
 _CUTS = re.compile(r"(?<=\S)(?=[ \n])")
@@ -39,18 +44,42 @@ class Encoder:
         self.joined = Tokenizer.from_file(path)
         self.separator = self.joined.token_to_id(SEPARATOR)
         self.drops_space = drops_space
+        names = self.whole.get_vocab()
+        #: Ids that are the last of a word, or the first of a part that follows on a blank.
+        self.edges = np.zeros(max(names.values()) + 1, bool)
+        marked = (lambda name: name.endswith(WORD_END)) if drops_space else (lambda name: name.startswith(BLANK))
+        self.edges[[i for name, i in names.items() if marked(name)]] = True
         # A part as it is cut (without the blank it follows on) to its ids.
         self.known: dict[str, bytes] = {"": b""}
 
     def encode(self, parts: list[str]) -> list[bytes]:
         """The ids of each part, encoded by itself."""
         if len(parts) == 1 or any("<|" in p for p in parts):
-            return [np.array(self.whole.encode(p, add_special_tokens=False).ids, "<u4").tobytes() for p in parts]
-        ids = np.array(self.joined.encode(SEPARATOR.join(parts), add_special_tokens=False).ids, "<u4")
+            return [self._ids(self.whole, p).tobytes() for p in parts]
+        ids = self._ids(self.joined, SEPARATOR.join(parts))
         ends = np.append(np.nonzero(ids == self.separator)[0], len(ids))
         starts = np.concatenate([[0], ends[:-1] + 1])
-        data = ids.tobytes()
-        return [data[4 * a : 4 * b] for a, b in zip(starts.tolist(), ends.tolist())]
+        return _pieces(ids, starts, ends)
+
+    def _ids(self, tokenizer: Tokenizer, text: str) -> np.ndarray:
+        (encoding,) = tokenizer.encode_batch_fast([text], add_special_tokens=False)
+        return np.array(encoding.ids, "<u4")
+
+    def _is_plain(self, part: str) -> bool:
+        """Whether a part shows in the ids where it ends: a single word, or all after a single blank."""
+        return part.isalpha() if self.drops_space else part[0] not in "\n\0"
+
+    def _encode_plain(self, parts: list[str]) -> list[bytes]:
+        """As ``encode``, for plain parts as they are cut: no separators, so about twice as fast."""
+        if not parts:
+            return []
+        ids = self._ids(self.whole, " ".join(parts) if self.drops_space else " " + " ".join(parts))
+        edges = np.nonzero(self.edges[ids])[0]
+        if len(edges) != len(parts):  # letters that lower-casing or composing parts from their marks
+            return self.encode(list(map(self.written, parts)))
+        if self.drops_space:
+            return _pieces(ids, np.concatenate([[0], edges[:-1] + 1]), edges + 1)
+        return _pieces(ids, edges, np.append(edges[1:], len(ids)))
 
     def _learn(self, missing: set[str]) -> dict[str, bytes]:
         """The ids of parts not met before."""
@@ -58,7 +87,7 @@ class Encoder:
         wanted: set[str] = set()
         for part in missing:
             core = part.rstrip(_TAIL)
-            letters = core[core[:1] == "\n" :].lower()  # lower-casing can add marks
+            letters = normalize("NFC", core[core[:1] == "\n" :]).lower()  # both can set marks apart
             if len(core) < len(part) and letters.isalpha():
                 both = cores[part] = (core, "\0" + part[len(core) :])
                 wanted.update(both)
@@ -67,8 +96,12 @@ class Encoder:
         if len(self.known) > (MEMO_WORDS if self.drops_space else MEMO_PARTS):
             self.known = {"": b""}
         known = self.known
-        parts = list(wanted.difference(known))
-        found = dict(zip(parts, self.encode(list(map(self.written, parts))))) if parts else {}
+        plain, others = [], []
+        for part in wanted.difference(known):
+            (plain if self._is_plain(part) else others).append(part)
+        found = dict(zip(plain, self._encode_plain(plain)))
+        if others:
+            found.update(zip(others, self.encode(list(map(self.written, others)))))
         for part, both in cores.items():
             found[part] = b"".join([found[p] if p in found else known[p] for p in both])
         known.update((p, ids) for p, ids in found.items() if len(p) <= MEMO_CHARS)
@@ -106,6 +139,11 @@ class Encoder:
         return b"".join(ids)
 
 
+def _pieces(ids: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[bytes]:
+    data = ids.tobytes()
+    return [data[4 * a : 4 * b] for a, b in zip(starts.tolist(), ends.tolist())]
+
+
 def release() -> None:
     """Give back the memory of this worker's encoders; for tasks that need it and encode nothing."""
     encoder.cache_clear()

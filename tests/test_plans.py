@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from tillmarts import standin
 from tillmarts.catalog import registered
-from tillmarts.operators import joins
+from tillmarts.operators import joins, loads
 from tillmarts.plans import sales
 from tillmarts.storage import fresh_path, materialize
 
@@ -152,3 +152,19 @@ def test_a_long_document_is_packed_in_pages(spark, monkeypatch, tmp_path):
     assert lines.count() == source.count()
     without = docs.filter("details = '{}'").count()
     assert docs.select("id").distinct().count() == 1_500 and without > 0
+
+
+def test_many_keys_and_dead_letters_are_not_broadcast(spark, monkeypatch, tmp_path):
+    """Small files may hold many keys; above a number of rows they do not go through the driver."""
+    monkeypatch.setattr(joins, "BUILD_ROWS", 50)
+    batch = spark.range(100).select("id", F.lit("n/a").alias("n"))
+    new = joins.anti_join_existing(batch, spark.range(40), "id")
+    assert new.count() == 60 and "Broadcast" not in plan(new)
+    few = joins.anti_join_existing(batch.filter("id < 50"), spark.range(40), "id")
+    assert few.count() == 10 and "Broadcast" in plan(few)
+    plans = []
+    monkeypatch.setattr(loads, "sink_append", lambda df, path: plans.append(plan(df)) or df.write.mode("append").parquet(path))
+    for _ in range(2):
+        loads.keep_rejects(batch, f"{tmp_path}/rejects", "id")
+    assert spark.read.parquet(f"{tmp_path}/rejects").count() == 100
+    assert "LeftAnti" in plans[1] and "Broadcast" not in plans[1]

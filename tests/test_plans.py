@@ -154,6 +154,12 @@ def test_a_long_document_is_packed_in_pages(spark, monkeypatch, tmp_path):
     assert docs.select("id").distinct().count() == 1_500 and without > 0
 
 
+@needs_data
+def test_last_values_group_their_rows_once(spark):
+    text = plan(entry.queries()["last_value_ignore_nulls"](spark, FOLDER))
+    assert text.count("HashAggregate(") == 2  # partial and final
+
+
 def test_many_keys_and_dead_letters_are_not_broadcast(spark, monkeypatch, tmp_path):
     """Small files may hold many keys; above a number of rows they do not go through the driver."""
     monkeypatch.setattr(joins, "BUILD_ROWS", 50)

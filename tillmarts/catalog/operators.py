@@ -658,10 +658,8 @@ def running_sum(spark: SparkSession, folder: str) -> DataFrame:
 def last_value_ignore_nulls(spark: SparkSession, folder: str) -> DataFrame:
     """Last counted quantity of a part, 0 before the first count."""
     counted = F.when(F.col("l_returnflag") == "R", F.col("l_quantity"))
-    days = (
-        scan(spark, folder, "lineitem")
-        .groupBy("l_partkey", F.to_date("l_shipdate").alias("day"))
-        .agg(F.max(counted).alias("counted"))
+    days = scan(spark, folder, "lineitem").select(
+        "l_partkey", F.to_date("l_shipdate").alias("day"), counted.alias("counted")
     )
     return windows.forward_fill(days, ["l_partkey"], "day", "counted", "filled", 0.0)
 

@@ -154,6 +154,51 @@ def test_a_long_document_is_packed_in_pages(spark, monkeypatch, tmp_path):
     assert docs.select("id").distinct().count() == 1_500 and without > 0
 
 
+@pytest.fixture
+def kept(spark, monkeypatch):
+    """The labels of the tables that are written for a query to read back."""
+    labels = []
+
+    def record(spark, folder, label, build):
+        labels.append(label)
+        return build()
+
+    monkeypatch.setattr(standin, "staged", record)
+    return labels
+
+
+@needs_data
+@pytest.mark.parametrize(
+    "name", ["raw_document", "stg_document_lines", "filter_not_in_null", "count_nonnull", "stock_mart"]
+)
+def test_what_is_read_once_is_not_written_first(spark, kept, name):
+    entry.queries()[name](spark, FOLDER)
+    assert kept == []
+
+
+@needs_data
+@pytest.mark.parametrize("name", ["sales_daily", "stock_vs_sales", "union_all_movements", "stock_ledger"])
+def test_lines_are_kept_but_neither_documents_nor_the_wide_mart(spark, kept, name):
+    entry.queries()[name](spark, FOLDER)
+    assert "document-lines" in kept and not {"documents", "sales-core"} & {*kept}
+
+
+@needs_data
+def test_marts_read_documents_that_are_not_written_first(spark, kept):
+    entry.queries()["build_marts"](spark, FOLDER)
+    assert "documents" not in kept
+
+
+@needs_data
+def test_documents_are_shuffled_as_plain_columns(spark):
+    """No JSON text, and no amount that the lines' own columns give, is in a page before the join."""
+    pages = standin.detail_pages(spark, FOLDER)
+    item = pages.schema["items"].dataType.elementType.fieldNames()
+    assert item == standin.LINE_COLUMNS + standin.VARIANT_COLUMNS
+    joins_of = spark_optimized(standin.build_documents(spark, FOLDER)).split("Join Inner", 1)[1]
+    assert "to_json" not in joins_of
+
+
 @needs_data
 def test_last_values_group_their_rows_once(spark):
     text = plan(entry.queries()["last_value_ignore_nulls"](spark, FOLDER))

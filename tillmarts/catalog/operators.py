@@ -138,7 +138,7 @@ def filter_not_in_null(spark: SparkSession, folder: str) -> DataFrame:
         .when(name.isNull(), "unknown")
         .otherwise("sale")
     )
-    lines = S.document_lines(spark, folder)
+    lines = S.build_document_lines(spark, folder)
     return lines.groupBy("document_name", kind.alias("kind")).agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -466,7 +466,7 @@ def sum_cast_by_date(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(expect("SELECT fecha_documento, compras_mismo_dia FROM sale_days"))
 def count_nonnull(spark: SparkSession, folder: str) -> DataFrame:
-    lines = S.document_lines(spark, folder).withColumn(
+    lines = S.build_document_lines(spark, folder).withColumn(
         "fecha_documento", epoch_to_date(F.col("emissionDate"))
     )
     sales_only = filters.filter_in(lines, "document_name", L.SALE_DOCUMENT_NAMES)
@@ -690,7 +690,7 @@ def first_row(spark: SparkSession, folder: str) -> DataFrame:
 @query(expect("SELECT * FROM all_movements"))
 def union_all_movements(spark: SparkSession, folder: str) -> DataFrame:
     return stock.movements(
-        S.receptions(spark, folder), S.consumptions(spark, folder), S.core(spark, folder)
+        S.receptions(spark, folder), S.consumptions(spark, folder), S.build_core(spark, folder)
     )
 
 

@@ -183,6 +183,20 @@ def test_lines_are_kept_but_neither_documents_nor_the_wide_mart(spark, kept, nam
     assert "document-lines" in kept and not {"documents", "sales-core"} & {*kept}
 
 
+@needs_data
+@pytest.mark.parametrize("name", ["sales_core", "sales_daily", "union_all_movements"])
+def test_stock_that_only_the_mart_reads_is_not_written(spark, kept, name):
+    entry.queries()[name](spark, FOLDER)
+    assert "stock" not in kept
+
+
+@needs_data
+def test_lines_meet_the_variants_before_the_days(spark):
+    """The calendar's columns are not shuffled to the variants."""
+    text = spark_optimized(entry.queries()["sales_core"](spark, FOLDER))
+    assert "fecha_documento" in text.split("Join LeftOuter")[1] and "<=>" in text.split("Join LeftOuter")[2]
+
+
 @needs_data
 def test_marts_read_documents_that_are_not_written_first(spark, kept):
     entry.queries()["build_marts"](spark, FOLDER)

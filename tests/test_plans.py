@@ -233,3 +233,87 @@ def test_many_keys_and_dead_letters_are_not_broadcast(spark, monkeypatch, tmp_pa
         loads.keep_rejects(batch, f"{tmp_path}/rejects", "id")
     assert spark.read.parquet(f"{tmp_path}/rejects").count() == 100
     assert "LeftAnti" in plans[1] and "Broadcast" not in plans[1]
+
+
+def made(spark, folder, orders=200, lines=3_000, twice=None):
+    """Small test tables; the lines of an order are far apart, order ``twice`` is there two times."""
+    def keep(name, rows, **columns):
+        frame = spark.range(0, rows, 1, 1).select(*[F.expr(e).alias(c) for c, e in columns.items()])
+        if name == "orders" and twice is not None:
+            frame = frame.unionByName(frame.filter(F.col("o_orderkey") == twice)).coalesce(1)
+        frame.write.parquet(f"{folder}/{name}.parquet")
+
+    day = "date_add(DATE'1997-01-05', CAST(id % 50 AS INT))"
+    keep(
+        "orders", orders, o_orderkey="id", o_custkey="id % 7", o_totalprice="CAST(id AS DOUBLE)",
+        o_orderstatus="element_at(array('F', 'O', 'P'), CAST(id % 3 + 1 AS INT))",
+        o_orderdate=f"CAST({day} AS TIMESTAMP)",
+        o_orderpriority="element_at(array('1-URGENT', '5-LOW', '2-HIGH', '3-MEDIUM'), CAST(id % 4 + 1 AS INT))",
+    )
+    keep(
+        "lineitem", lines, l_orderkey=f"id % {orders - 10}", l_partkey="id % 9", l_suppkey="id % 4",
+        l_linenumber="CAST(id % 5 AS INT)", l_quantity="CAST(id % 8 + 1 AS DOUBLE)",
+        l_extendedprice="CAST(id + 1 AS DOUBLE)", l_discount="0.1D", l_tax="0.2D",
+        l_returnflag="element_at(array('A', 'N', 'R'), CAST(id % 3 + 1 AS INT))", l_linestatus="'O'",
+        l_shipdate=f"CAST({day} AS TIMESTAMP)",
+    )
+    keep(
+        "part", 9, p_partkey="id", p_name="concat(element_at(array('red', 'blue'), CAST(id % 2 + 1 AS INT)), ' ring')",
+        p_brand="concat('Brand#', id + 11)", p_type="'LARGE'", p_size="CAST(id AS INT)", p_retailprice="9.5D",
+    )
+    keep(
+        "events", 400, event_id="id", ts="CAST(date_add(DATE'2024-01-05', CAST(id % 20 AS INT)) AS TIMESTAMP)",
+        user_id="id % 12", event_type="element_at(array('view', 'click', 'purchase'), CAST(id % 3 + 1 AS INT))",
+        value="CAST(id AS DOUBLE)", props="concat('{\"k\": ', id % 5, '}')",
+    )
+    return str(folder)
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_scattered_lines_of_an_order_are_one_document(spark, no_broadcast, monkeypatch, tmp_path):
+    """Pages are cut where lines of an order are neighbours, so their number grows with the orders."""
+    folder = made(spark, tmp_path, twice=3)
+    monkeypatch.setattr(standin, "PAGE_RUN", 300)
+    docs = standin.build_documents(spark, folder)
+    # Besides the 201 orders a page more for each run that ends inside an order.
+    assert 201 <= docs.count() <= 201 + 3_000 // 300 + 4
+    lines = sales.raw_document(docs.withColumn("references", F.lit("[]")))
+    assert lines.count() == 3_000 + lines.filter("doc_id = 3").count() // 2
+    assert docs.filter("details = '{}'").count() == 10
+
+
+def test_lines_are_shuffled_once_to_their_orders(spark, no_broadcast, tmp_path):
+    text = plan(standin.detail_pages(spark, made(spark, tmp_path)))
+    # Parts, lines to parts, lines to orders, orders; none for the pages.
+    assert text.count("Exchange hashpartitioning(") == 4
+
+
+def test_a_hot_order_is_split_on_its_way_into_pages(spark, tight, tmp_path):
+    folder = made(spark, tmp_path / "a", lines=60_000)
+    hot = F.when(F.col("l_partkey") < 3, F.lit(1)).otherwise(F.col("l_orderkey")).cast("bigint")
+    source = spark.read.parquet(f"{folder}/lineitem.parquet").withColumn("l_orderkey", hot)
+    source.write.parquet(f"{tmp_path}/b/lineitem.parquet")
+    for name in ("orders", "part"):
+        spark.read.parquet(f"{folder}/{name}.parquet").write.parquet(f"{tmp_path}/b/{name}.parquet")
+    pages = standin.detail_pages(spark, f"{tmp_path}/b")
+    assert sum(len(r["items"]) for r in pages.collect()) == 60_000
+    assert "skew=true" in plan(pages)
+
+
+def test_a_mart_of_some_columns_has_the_rows_of_the_whole(spark, tmp_path):
+    folder = made(spark, tmp_path)
+    some = standin.build_core(spark, folder, columns=standin.SOLD_COLUMNS)
+    whole = standin.build_core(spark, folder)
+    assert {"doc_id", "total_amount"} <= {*whole.columns} - {*some.columns}
+    assert sorted(map(str, some.collect())) == sorted(map(str, whole.select(*some.columns).collect()))
+
+
+def test_stock_json_is_made_once_per_variant(spark, tmp_path):
+    raw = standin.stock_raw(spark, made(spark, tmp_path))._jdf.queryExecution().analyzed().toString()
+    assert "to_json" not in raw.split("Join Inner")[0] and raw.count("to_json") == 2

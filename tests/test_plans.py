@@ -306,6 +306,26 @@ def test_a_hot_order_is_split_on_its_way_into_pages(spark, tight, tmp_path):
     assert "skew=true" in plan(pages)
 
 
+@pytest.mark.parametrize(
+    "name", ["union_all_movements"]
+)
+def test_only_columns_that_are_read_are_kept(spark, monkeypatch, tmp_path, name):
+    """Lines and stock are written with what the query reads of them, and the ads mart is not written."""
+    folder, kept = made(spark, tmp_path), {}
+
+    def record(spark, folder, label, build):
+        kept[label] = build()
+        return kept[label]
+
+    monkeypatch.setattr(standin, "staged", record)
+    entry.queries()[name](spark, folder)
+    of_lines = standin.DAILY_COLUMNS if name == "sales_daily" else standin.SOLD_COLUMNS
+    assert {*kept["document-lines"].columns} == {*sales.LINE_KEYS, *of_lines}
+    assert "ads-budget" not in kept and len(kept["stock"].columns if "stock" in kept else []) in (0, 3)
+    parsed = spark_optimized(kept["document-lines"])
+    assert "netDiscount,StringType" not in parsed.split("from_json(")[1]
+
+
 def test_a_mart_of_some_columns_has_the_rows_of_the_whole(spark, tmp_path):
     folder = made(spark, tmp_path)
     some = standin.build_core(spark, folder, columns=standin.SOLD_COLUMNS)

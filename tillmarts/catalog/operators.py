@@ -690,7 +690,9 @@ def first_row(spark: SparkSession, folder: str) -> DataFrame:
 @query(expect("SELECT * FROM all_movements"))
 def union_all_movements(spark: SparkSession, folder: str) -> DataFrame:
     return stock.movements(
-        S.receptions(spark, folder), S.consumptions(spark, folder), S.build_core(spark, folder)
+        S.receptions(spark, folder),
+        S.consumptions(spark, folder),
+        S.build_core(spark, folder, columns=S.SOLD_COLUMNS),
     )
 
 

@@ -307,7 +307,7 @@ def test_a_hot_order_is_split_on_its_way_into_pages(spark, tight, tmp_path):
 
 
 @pytest.mark.parametrize(
-    "name", ["union_all_movements"]
+    "name", ["union_all_movements", "stock_ledger", "stock_ledger_carried", "stock_vs_sales", "sales_daily"]
 )
 def test_only_columns_that_are_read_are_kept(spark, monkeypatch, tmp_path, name):
     """Lines and stock are written with what the query reads of them, and the ads mart is not written."""
